@@ -49,16 +49,10 @@ def _core_rows(spark, sf_dir, table_class: str, keep=()) -> DataFrame:
     )
 
 
-def _stored_rows(spark, sf_dir, table_class: str) -> DataFrame:
+def _batch_rows(spark, sf_dir, table_class: str) -> DataFrame:
     """Batch rows under stored names, with the file they come from."""
-    rows = core.with_load_dates(
-        _core_rows(spark, sf_dir, table_class, ("file_no",)),
-        standins.LOAD_DATE,
-        RETENTION,
-    )
-    header, names = schemas.CORE_CLASSES[table_class]
-    renamed = rows.withColumnsRenamed(dict(zip(header, names)))
-    return renamed.select(*names, core.LOAD_DATE, core.DELETION_DATE, "file_no")
+    rows = _core_rows(spark, sf_dir, table_class, ("file_no",))
+    return core.stored_names(rows, table_class, "file_no")
 
 
 @query
@@ -113,15 +107,13 @@ def project_modkpb(spark, sf_dir):
 
 
 def _merge_core(spark, sf_dir, table_class: str) -> DataFrame:
-    target = standins.stored_core(spark, sf_dir, table_class)
-    new = merge.new_rows(
-        _stored_rows(spark, sf_dir, table_class),
-        target,
+    return merge.merged(
+        _batch_rows(spark, sf_dir, table_class),
+        standins.stored_core(spark, sf_dir, table_class),
         core.merge_keys(table_class),
+        constants=core.load_dates(standins.LOAD_DATE, RETENTION),
         file_order="file_no",
-        only=F.col(core.LOAD_DATE) == dates.as_date(standins.LOAD_DATE),
     )
-    return target.unionByName(new)
 
 
 @query
@@ -136,21 +128,22 @@ def merge_modkpb(spark, sf_dir):
 
 @query
 def incremental_core_load(spark, sf_dir):
-    """Files in folders after the watermark, classified, dated and merged per class."""
+    """Files in folders after the watermark, classified, merged in file order and dated."""
     lines = listing.newer_than(
         standins.core_files(spark, sf_dir), dates.as_date("2024-01-05")
     )
-    both = [
-        core_load.rows_from_lines(lines, name, standins.LOAD_DATE, RETENTION)
-        for name in schemas.CORE_CLASSES
-    ]
-    prod, kpb = [
-        merge.repeat_copies(
-            merge.count_copies(rows, core.merge_keys(name), core_load.FILE_ORDER)
-        ).withColumn("table_class", F.lit(name))
-        for name, rows in zip(schemas.CORE_CLASSES, both)
-    ]
-    return prod.unionByName(kpb, allowMissingColumns=True)
+    loaded = []
+    for name, (_, columns) in schemas.CORE_CLASSES.items():
+        counted = merge.count_copies(
+            core_load.rows_from_lines(lines, name), columns, core_load.FILE_ORDER
+        )
+        loaded.append(
+            core.with_load_dates(
+                merge.repeat_copies(counted), standins.LOAD_DATE, RETENTION
+            ).withColumn("table_class", F.lit(name))
+        )
+    modprod, modkpb = loaded
+    return modprod.unionByName(modkpb, allowMissingColumns=True)
 
 
 @query
@@ -297,13 +290,13 @@ _SOURCES = {
 }
 
 
-def dimension_sources(spark, sf_dir) -> dict[str, DataFrame]:
-    return {name: make(spark, sf_dir) for name, make in _SOURCES.items()}
+def dimension_sources(spark, sf_dir, names=tuple(_SOURCES)) -> dict[str, DataFrame]:
+    return {name: _SOURCES[name](spark, sf_dir) for name in names}
 
 
 def _dimension_query(dimension: dimensions.Dimension) -> Query:
     return lambda spark, sf_dir: dimensions.build(
-        dimension, dimension_sources(spark, sf_dir)
+        dimension, dimension_sources(spark, sf_dir, dimension.sources)
     )
 
 
@@ -326,9 +319,8 @@ def ecu_name(spark, sf_dir):
 
 @query
 def join_model_bridge(spark, sf_dir):
-    sources = dimension_sources(spark, sf_dir)
-    bridge = dimensions.model_bridge(sources[dimensions.ERROR_FACT])
-    return sources[dimensions.VEHICLES].join(bridge, dimensions.KEY)
+    bridge = dimensions.model_bridge(standins.error_fact(spark, sf_dir))
+    return standins.vehicle_extended(spark, sf_dir).join(bridge, dimensions.KEY)
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
@@ -15,21 +15,31 @@ LOAD_DATE = "Load_Date"
 DELETION_DATE = "KSU_LOESCH_DATUM"
 
 
+def load_dates(
+    load_date: str | dt.date, retention: dates.Retention
+) -> dict[str, Column]:
+    """Load date of a batch and the date its rows are to be deleted, as literals."""
+    day = dates.as_date(load_date)
+    return {LOAD_DATE: day, DELETION_DATE: retention.deletion_date(day)}
+
+
 def with_load_dates(
     df: DataFrame, load_date: str | dt.date, retention: dates.Retention
 ) -> DataFrame:
-    """Constant load date and the date its rows are to be deleted."""
-    day = dates.as_date(load_date)
-    return df.withColumns(
-        {LOAD_DATE: day, DELETION_DATE: retention.deletion_date(day)}
+    return df.withColumns(load_dates(load_date, retention))
+
+
+def stored_names(df: DataFrame, table_class: str, *keep: str) -> DataFrame:
+    """Delivered columns in stored order under their stored names, not yet dated."""
+    header, names = schemas.CORE_CLASSES[table_class]
+    return df.select(
+        *[F.col(old).alias(new) for old, new in zip(header, names)], *keep
     )
 
 
 def to_stored(df: DataFrame, table_class: str) -> DataFrame:
-    """Delivered columns in stored order under their stored names."""
-    header, names = schemas.CORE_CLASSES[table_class]
-    dated = [LOAD_DATE, DELETION_DATE]
-    return df.select(*header, *dated).toDF(*names, *dated)
+    """A dated delivery as the table stores it."""
+    return stored_names(df, table_class, LOAD_DATE, DELETION_DATE)
 
 
 def parse_class_lines(

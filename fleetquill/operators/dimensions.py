@@ -38,6 +38,11 @@ class Dimension:
     def columns(self) -> list[str]:
         return [*self.attributes, *BASE]
 
+    @property
+    def sources(self) -> list[str]:
+        """Sources it is built from: a joined one also needs the fact for its bridge."""
+        return list(dict.fromkeys([self.source, ERROR_FACT]))
+
     @property
     def table_name(self) -> str:
         return self.table or f"error_recovery_by_{self.name.removeprefix('dim_')}"

@@ -7,7 +7,7 @@ each needs, which keeps a row repeated millions of times from landing on one tas
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,14 @@ def count_copies(
     )
 
 
+def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys, hash-partitioned by the keys in the given order.
+
+    ``distinct()`` may reorder its columns; the join would then shuffle them again.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys)
+
+
 def absent_from(
     updates: DataFrame,
     target: DataFrame,
@@ -62,8 +70,9 @@ def absent_from(
     """Update rows whose key the target lacks."""
     known = target.select(*keys)
     if not null_safe:
-        return updates.join(known.na.drop().distinct(), list(keys), "left_anti")
-    known = known.distinct().alias("known")
+        known = _distinct_keys(known.na.drop(), keys)
+        return updates.join(known, list(keys), "left_anti")
+    known = _distinct_keys(known, keys).alias("known")
     same = reduce(
         lambda a, b: a & b,
         [updates[k].eqNullSafe(F.col(f"known.`{k}`")) for k in keys],
@@ -104,22 +113,30 @@ def new_rows(
     target: DataFrame,
     keys: Sequence[str],
     *,
+    constants: Mapping[str, Column] | None = None,
     file_order: str | None = None,
     unique: bool = False,
-    only: Column | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Rows an insert-only merge appends.
 
+    ``constants`` are columns with one value for the whole batch, such as its load
+    date; ``updates`` comes without them. Those that are keys restrict the target to
+    what can match, which prunes its partitions, and stay out of the shuffles: the
+    aggregates and the join then share one hash partitioning by the other keys.
     ``unique`` says the batch holds each row once (it is the result of a distinct).
-    ``only`` restricts the target to the part that can match, e.g. one load date, and
-    prunes its partitions.
     """
-    known = target if only is None else target.where(only)
+    constants = dict(constants or {})
+    known = target
+    for name in set(constants).intersection(keys):
+        known = known.where(F.col(name) == constants[name])
+    varying = [k for k in keys if k not in constants]
     if unique:
-        return absent_from(updates, known, keys, null_safe)
-    counted = count_copies(updates, keys, file_order)
-    return repeat_copies(absent_from(counted, known, keys, null_safe))
+        rows = absent_from(updates, known, varying, null_safe)
+    else:
+        counted = count_copies(updates, varying, file_order)
+        rows = repeat_copies(absent_from(counted, known, varying, null_safe))
+    return rows.withColumns(constants) if constants else rows
 
 
 def merged(updates: DataFrame, target: DataFrame, keys: Sequence[str], **how) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
@@ -24,6 +24,22 @@ class BaselinePaths:
     load_log: str
 
 
+def stored_table(paths: BaselinePaths) -> upsert.Table:
+    return upsert.Table(
+        NAME,
+        paths.table,
+        schemas.BASELINE_STORED,
+        schemas.BASELINE_KEYS,
+        "validfrom",
+        paths.load_log,
+    )
+
+
+def snapshot_of_file() -> Column:
+    """Date of the folder a scanned file lies in."""
+    return dates.try_iso_date(F.element_at(F.split("_metadata.file_path", "/"), -2))
+
+
 def merge_documents(
     documents: DataFrame,
     stored: DataFrame,
@@ -70,10 +86,7 @@ def load_baselines(
     root = paths.landing.rstrip("/")
     documents = readers.read_baselines(
         spark, [f"{root}/{folder}" for folder in folders], multi_line
-    ).withColumn(
-        "snapshot_date",
-        dates.try_iso_date(F.element_at(F.split("_metadata.file_path", "/"), -2)),
-    )
+    ).withColumn("snapshot_date", snapshot_of_file())
     rows = baseline.first_seen(
         documents,
         load_date,
@@ -83,14 +96,7 @@ def load_baselines(
     return upsert.upsert_insert_only(
         spark,
         rows,
-        upsert.Table(
-            NAME,
-            paths.table,
-            schemas.BASELINE_STORED,
-            schemas.BASELINE_KEYS,
-            "validfrom",
-            paths.load_log,
-        ),
+        stored_table(paths),
         load_id=f"baseline-{folders[0]}-{folders[-1]}",
         unique=True,
     )

@@ -31,54 +31,36 @@ class CorePaths:
         return {"modprod": self.modprod, "modkpb": self.modkpb}[table_class]
 
 
-def _stored(
-    rows: DataFrame,
-    table_class: str,
-    load_date: str | dt.date,
-    retention: dates.Retention,
-) -> DataFrame:
-    """Delivered columns plus path: dated, under stored names."""
-    header, names = schemas.CORE_CLASSES[table_class]
-    return (
-        core.with_load_dates(rows, load_date, retention)
-        .withColumnsRenamed(dict(zip(header, names)))
-        .select(*names, core.LOAD_DATE, core.DELETION_DATE, FILE_ORDER)
+def stored_table(paths: CorePaths, table_class: str) -> upsert.Table:
+    return upsert.Table(
+        table_class,
+        paths.table(table_class),
+        schemas.STORED_SCHEMAS[table_class],
+        core.merge_keys(table_class),
+        core.LOAD_DATE,
+        paths.load_log,
     )
 
 
-def rows_from_lines(
-    lines: DataFrame,
-    table_class: str,
-    load_date: str | dt.date,
-    retention: dates.Retention,
-) -> DataFrame:
+def rows_from_lines(lines: DataFrame, table_class: str) -> DataFrame:
     """Rows of one class, with their file's path, from lines held in a table.
 
     Input: path, position, line of every file, headers included.
     """
     data = classify.data_lines(lines, classify.classify_files(lines))
-    return _stored(
-        core.parse_class_lines(data, table_class, (FILE_ORDER,)),
-        table_class,
-        load_date,
-        retention,
-    )
+    parsed = core.parse_class_lines(data, table_class, (FILE_ORDER,))
+    return core.stored_names(parsed, table_class, FILE_ORDER)
 
 
 def rows_from_files(
-    fields: DataFrame,
-    classes: DataFrame,
-    table_class: str,
-    load_date: str | dt.date,
-    retention: dates.Retention,
+    fields: DataFrame, classes: DataFrame, table_class: str
 ) -> DataFrame:
     """Rows of one class, with their file's path, from scanned fields."""
-    header, _ = schemas.CORE_CLASSES[table_class]
+    _, names = schemas.CORE_CLASSES[table_class]
     mine = classes.where(F.col("table_class") == table_class)
-    named = classify.attach_class(fields, mine).select(
-        *[F.col(f"_c{i}").alias(n) for i, n in enumerate(header)], FILE_ORDER
+    return classify.attach_class(fields, mine).select(
+        *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)], FILE_ORDER
     )
-    return _stored(named, table_class, load_date, retention)
 
 
 def find_watermark(
@@ -131,20 +113,13 @@ def load_core(
     fields = readers.read_core_fields(spark, sources)
     load_id = f"core-{load_date}-{folders[0]}-{folders[-1]}"
     for name in schemas.CORE_CLASSES:
-        rows = rows_from_files(fields, classes, name, load_date, retention)
+        rows = rows_from_files(fields, classes, name)
         written[name] = upsert.upsert_insert_only(
             spark,
             rows,
-            upsert.Table(
-                name,
-                paths.table(name),
-                schemas.STORED_SCHEMAS[name],
-                core.merge_keys(name),
-                core.LOAD_DATE,
-                paths.load_log,
-            ),
+            stored_table(paths, name),
             load_id=load_id,
             file_order=FILE_ORDER,
-            only=F.col(core.LOAD_DATE) == dates.as_date(load_date),
+            constants=core.load_dates(load_date, retention),
         )
     return written

@@ -55,7 +55,10 @@ def upsert_insert_only(
             return 0
     new = merge.new_rows(updates, read_or_empty(spark, table), table.keys, **how)
     written = writers.append_partitioned(
-        new.select(*table.schema.fieldNames()), table.path, table.partition
+        new.select(*table.schema.fieldNames()),
+        table.path,
+        table.partition,
+        even=not how.get("unique", False),
     )
     load_log.append_load(
         spark,

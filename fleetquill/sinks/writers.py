@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 
 def append_partitioned(
-    df: DataFrame, path: str, partition: str, table_format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition: str,
+    table_format: str = "parquet",
+    even: bool = False,
 ) -> int:
     """Append below ``partition=value`` folders; returns the rows written.
 
     Rebalancing evens out the write tasks and splits one that is far larger than the
-    rest, which is the usual case: a batch holds a single load date. The rows are
-    counted in the writing stage itself, whose tasks count once even when rerun.
+    rest, which is the usual case: a batch holds a single load date. ``even`` says the
+    rows are spread evenly already. The rows are counted in the writing stage itself,
+    whose tasks count once even when rerun.
     """
     counted = Observation()
-    df.hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(
+    rows = df if even else df.hint("rebalance")
+    rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(
         "append"
     ).partitionBy(partition).format(table_format).save(path)
     return counted.get.get("rows", 0)

@@ -64,9 +64,14 @@ def read_table_path(
     schema: T.StructType | None = None,
     table_format: str = "parquet",
 ) -> DataFrame:
-    """A table by its path. Declare the schema to keep text partition values text."""
+    """A table by its path.
+
+    A declared schema keeps text partition values text and columns in its order.
+    """
     reader = spark.read.format(table_format)
-    return (reader.schema(schema) if schema else reader).load(path)
+    if schema is None:
+        return reader.load(path)
+    return reader.schema(schema).load(path).select(*schema.fieldNames())
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
