@@ -51,12 +51,16 @@ def merge_documents(
     return merge.merged(updates, stored, schemas.BASELINE_KEYS, unique=True)
 
 
+def is_initial_load(spark: SparkSession, paths: BaselinePaths) -> bool:
+    return load_log.is_initial_load(spark, paths.load_log, {NAME: paths.table})
+
+
 def find_watermark(
     spark: SparkSession, paths: BaselinePaths, explicit: str | dt.date | None = None
 ) -> dt.date:
     """Initial load first, then the given date, then the latest logged load."""
     start = dt.date.fromisoformat(dates.BEGINNING_OF_TIME)
-    if load_log.is_initial_load(spark, paths.table):
+    if is_initial_load(spark, paths):
         return start
     if explicit is not None:
         return dt.date.fromisoformat(str(explicit))
@@ -78,7 +82,7 @@ def load_baselines(
     All snapshots are read in one scan. On the first load the oldest of them is valid
     from the beginning of time, every other from its own date.
     """
-    initial = load_log.is_initial_load(spark, paths.table)
+    initial = is_initial_load(spark, paths)
     since = find_watermark(spark, paths, watermark)
     folders = core_load.new_folders(spark, paths.landing, since)
     if not folders:

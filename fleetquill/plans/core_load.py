@@ -67,7 +67,8 @@ def find_watermark(
     spark: SparkSession, paths: CorePaths, explicit: str | dt.date | None = None
 ) -> dt.date:
     """Initial load first, then the given date, then the older of the two tables."""
-    if load_log.is_initial_load(spark, paths.modprod, paths.modkpb):
+    tables = {name: paths.table(name) for name in schemas.CORE_CLASSES}
+    if load_log.is_initial_load(spark, paths.load_log, tables):
         return dt.date.fromisoformat(dates.BEGINNING_OF_TIME)
     if explicit is not None:
         return dt.date.fromisoformat(str(explicit))

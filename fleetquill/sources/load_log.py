@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,27 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def is_initial_load(spark: SparkSession, *paths: str) -> bool:
-    """True until every one of the tables exists."""
-    return not all(table_exists(spark, p) for p in paths)
-
-
 def read_load_log(spark: SparkSession, path: str) -> DataFrame:
     if table_exists(spark, path):
         return spark.read.schema(schemas.LOAD_LOG).parquet(path)
     return spark.createDataFrame([], schemas.LOAD_LOG)
 
 
+def is_initial_load(
+    spark: SparkSession, log_path: str, tables: Mapping[str, str]
+) -> bool:
+    """True until every table (name -> path) exists and has a logged load.
+
+    Data without a log row comes from a first load that did not finish.
+    """
+    if not all(table_exists(spark, path) for path in tables.values()):
+        return True
+    logged = read_load_log(spark, log_path).where(
+        F.col("table_name").isin(list(tables))
+    )
+    return logged.agg(F.count_distinct("table_name")).first()[0] < len(tables)
+
+
 def append_load(
     spark: SparkSession,
     path: str,

@@ -17,7 +17,6 @@ from fleetquill import schemas
 from fleetquill.functions import dates
 from fleetquill.operators import baseline, core
 from fleetquill.plans import baseline_load, core_load, upsert
-from fleetquill.sources import load_log
 
 
 def _start(stream: DataFrame, merge_batch, checkpoint: str) -> StreamingQuery:
@@ -89,7 +88,7 @@ def stream_baselines(
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        initial = load_log.is_initial_load(session, paths.table)
+        initial = baseline_load.is_initial_load(session, paths)
         upsert.upsert_insert_only(
             session,
             baseline.first_seen(

@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from conftest import rows
-from fleetquill import schemas
-from fleetquill.functions import dates
+from fleetquill import jobs, schemas
 from fleetquill.catalog import queries
+from fleetquill.functions import dates
 from fleetquill.operators import core, dimensions, merge
-from fleetquill.plans import baseline_load, core_load, dimension_batch, staging, upsert
+from fleetquill.plans import (
+    baseline_load,
+    core_load,
+    dimension_batch,
+    response_landing,
+    staging,
+    upsert,
+)
 from fleetquill.sinks import writers
 from fleetquill.sources import listing, load_log, readers
 from fleetquill.streaming import landing_stream
@@ -297,3 +304,49 @@ def test_staging_uses_the_shared_folder(spark, folder):
     first, second = [staging.staging_folder(spark, folder) for _ in range(2)]
     assert first.startswith(f"{shared.rstrip('/')}/")
     assert first != second
+
+
+def test_land_responses(spark, folder):
+    raw = spark.createDataFrame(
+        [
+            ("u", "1", 200, '{\r\n"content": {"productId": "V1"}}'),
+            ("u", "2", 404, None),
+            ("u", "3", 403, None),
+            ("u", "4", 200, "<p>"),
+        ],
+        schemas.RAW_RESPONSE,
+    )
+    with pytest.raises(response_landing.FailedResponses):
+        response_landing.land_responses(raw, folder, "2024-03-01")
+    found = response_landing.land_responses(raw, folder, "2024-03-01", strict=False)
+    assert found == {"ok": 1, "skipped": 1, "error": 1, "invalid_json": 1}
+    landed = readers.read_baselines(spark, f"{folder}/2024-03-01")
+    assert rows(landed.select("content.productId")) == [("V1",)]
+
+
+# --- command line ----------------------------------------------------------------------------------
+
+
+def test_jobs(spark, folder, core_paths):
+    common = ["--landing", core_paths.landing, "--load-date", "2024-02-29"]
+    done = jobs.main(["core-load", *common, "--storage", f"{folder}/store"])
+    assert done == {"modprod": 5, "modkpb": 1}
+
+    write(folder, "inbox/core/2024-01-05/a.csv", PROD)
+    write(folder, "land/core/2024-02-29/a.csv", PROD)
+    where = ["--inbox", f"{folder}/inbox", "--landing", f"{folder}/land"]
+    plan = ["move-plan", *where, "--load-date", "2024-02-29", "--output", f"{folder}/plan"]
+    assert jobs.main(plan) == {"total": 1, "duplicates": 1}
+    key = spark.read.parquet(f"{folder}/plan").first().write_key
+    assert key == "core/core_duplicates/2024/01/05/a.csv"
+
+    write(
+        folder,
+        "control.csv",
+        "table_name,s3_table_path,days,vacuum_flag,retention_days,vacuum_last_run,vacuum_next_run",
+        "t,p,1,true,7,2024-02-01,",
+        "u,p,1,false,7,2024-02-01,",
+    )
+    due = ["due", "--control", f"{folder}/control.csv", "--task", "vacuum"]
+    jobs.main([*due, "--today", "2024-02-02", "--output", f"{folder}/due"])
+    assert rows(spark.read.parquet(f"{folder}/due").select("table_name")) == [("t",)]
