@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
-from fleetquill.functions import dates, text
+from fleetquill.functions import dates, nested, text
 
 
 def published(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -32,34 +32,48 @@ def explode_materials(baselines: DataFrame) -> DataFrame:
     ).where(F.col("materials_items").isNotNull())
 
 
+def _field(df: DataFrame, path: str, absent: str = "string") -> Column:
+    """A nested field, or a typed null where an inferred schema lacks it."""
+    if nested.find_path(df.schema, path) is None:
+        return F.lit(None).cast(absent)
+    return F.col(path)
+
+
 def flatten_materials(materials: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every diagnosis address of a material with every of its ECU versions.
 
     A material without addresses or without versions stays, with nulls in their place.
+    With an inferred schema, materials may be no structs and versions may lack fields;
+    what is not there is null.
     """
     item = "materials_items"
     ecu = "ecuVersions_items"
+    addresses = _field(materials, f"{item}.diagnosisAddresses", "array<string>")
     addressed = materials.select(
         *keep,
         "productId",
-        F.col(f"{item}.partNumber").alias("partNumber"),
-        F.col(f"{item}.naming").alias("naming"),
-        F.col(f"{item}.materialType").alias("materialType"),
-        F.col(f"{item}.ecuVersions").alias("ecuVersions"),
-        F.explode_outer(f"{item}.diagnosisAddresses").alias("diagnosisAddresses"),
+        _field(materials, f"{item}.partNumber").alias("partNumber"),
+        _field(materials, f"{item}.naming").alias("naming"),
+        _field(materials, f"{item}.materialType").alias("materialType"),
+        _field(materials, f"{item}.ecuVersions", "array<string>").alias("ecuVersions"),
+        F.explode_outer(addresses).alias("diagnosisAddresses"),
     )
     versioned = addressed.select(
         *[c for c in addressed.columns if c != "ecuVersions"],
         F.explode_outer("ecuVersions").alias(ecu),
     )
-    return versioned.withColumns(
-        {
-            "hardwareVersion": F.col(f"{ecu}.hardwareVersion"),
-            "softwareVersion": F.col(f"{ecu}.softwareVersion"),
-            "hardwarePartNumber": F.col(f"{ecu}.hardwarePartNumber"),
-            "abbreviation": F.col(f"{ecu}.frozenStatus.abbreviation"),
-        }
-    ).select(*schemas.BASELINE_KEYS, *keep)
+    return versioned.select(
+        "partNumber",
+        "naming",
+        "materialType",
+        "diagnosisAddresses",
+        _field(versioned, f"{ecu}.hardwareVersion").alias("hardwareVersion"),
+        _field(versioned, f"{ecu}.softwareVersion").alias("softwareVersion"),
+        _field(versioned, f"{ecu}.hardwarePartNumber").alias("hardwarePartNumber"),
+        _field(versioned, f"{ecu}.frozenStatus.abbreviation").alias("abbreviation"),
+        "productId",
+        *keep,
+    )
 
 
 def flatten(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

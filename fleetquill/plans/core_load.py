@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetquill import schemas
 from fleetquill.functions import dates
 from fleetquill.operators import classify, core, merge
-from fleetquill.plans import upsert
+from fleetquill.plans import staging, upsert
 from fleetquill.sources import listing, load_log, readers
 
 # Files are merged in the order of their paths, date folders first.
@@ -101,7 +101,8 @@ def load_core(
     """Load every file of the folders after the watermark; rows written per table.
 
     The files of all folders are classified in one job and merged with one job per
-    table, whatever their number.
+    table, whatever their number. The classes are staged: the text is read once for
+    them, and the merges know their size.
     """
     since = find_watermark(spark, paths, watermark)
     folders = new_folders(spark, paths.landing, since)
@@ -110,7 +111,10 @@ def load_core(
         return written
     root = paths.landing.rstrip("/")
     sources = [f"{root}/{folder}" for folder in folders]
-    classes = classify.classify_files(readers.read_core_lines(spark, sources))
+    classes = staging.stage(
+        classify.classify_files(readers.read_core_lines(spark, sources)),
+        staging.staging_folder(spark, f"{paths.load_log.rstrip('/')}_staging"),
+    )
     fields = readers.read_core_fields(spark, sources)
     load_id = f"core-{load_date}-{folders[0]}-{folders[-1]}"
     for name in schemas.CORE_CLASSES:

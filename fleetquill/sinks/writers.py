@@ -1,4 +1,8 @@
-"""Table and file writers."""
+"""Table and file writers.
+
+``overwriteSchema`` matters to table formats that check the schema on overwrite; a
+Parquet folder takes the new schema anyway.
+"""
 
 from __future__ import annotations
 
@@ -37,7 +41,9 @@ def overwrite_compact(
 
     A small dimension ends up in one file; a large one is not squeezed into one task.
     """
-    df.hint("rebalance").write.mode("overwrite").format(table_format).save(path)
+    df.hint("rebalance").write.mode("overwrite").option("overwriteSchema", True).format(
+        table_format
+    ).save(path)
 
 
 def overwrite_clustered(
@@ -54,7 +60,7 @@ def overwrite_clustered(
     """
     df.hint("rebalance", partition, *cluster).write.partitionBy(partition).mode(
         "overwrite"
-    ).format(table_format).save(path)
+    ).option("overwriteSchema", True).format(table_format).save(path)
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:

@@ -163,6 +163,25 @@ def test_flatten(documents):
     assert baseline.rejected_rows(flat).count() == 3
 
 
+def test_flatten_with_inferred_schemas(spark):
+    """Inference types an empty material list as strings and knows only fields it saw."""
+
+    def flat(*texts):
+        schema = F.schema_of_json(F.lit(texts[0]))
+        df = spark.createDataFrame([(t,) for t in texts], "d string")
+        return baseline.flatten(df.select(F.from_json("d", schema).alias("x")).select("x.*"))
+
+    start = '{"content":{"productId":"V1","status":"published","materials":'
+    bare = flat(start + '["x"]}}')
+    assert rows(bare) == [(None,) * 8 + ("V1",)]
+    assert set(dict(bare.dtypes).values()) == {"string"}
+    part = flat(
+        start + '[{"partNumber":"P","naming":"N","materialType":"T",'
+        '"diagnosisAddresses":["1"],"ecuVersions":[{"hardwareVersion":"H"}]}]}}'
+    )
+    assert rows(part) == [("P", "N", "T", "1", "H", None, None, None, "V1")]
+
+
 def test_first_seen_equals_merging_one_snapshot_after_the_other(spark, documents):
     keep = dates.Retention(15)
     days = ["2024-01-01", "2024-01-02", "2024-01-03"]
