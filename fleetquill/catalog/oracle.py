@@ -417,7 +417,7 @@ ORACLE_SQL["overview_uuids"] = """
 SELECT product_id, 'u' || page_id || '-' || i AS uuid
 FROM (SELECT page_id, 'V' || page_id AS product_id, unnest(range(page_id % 4)) AS i FROM pages)"""
 ORACLE_SQL["raw_object_key"] = f"""WITH {_RESPONSES}
-SELECT uuid, 'conbase/2024-03-01/' || product_id || '_2024-03-01_' || uuid AS object_key
+SELECT uuid, 'baselines/2024-03-01/' || product_id || '_2024-03-01_' || uuid AS object_key
 FROM responses"""
 ORACLE_SQL["request_urls"] = f"""WITH {_RESPONSES}
 SELECT uuid,

@@ -445,7 +445,7 @@ def raw_object_key(spark, sf_dir):
     return standins.responses(spark, sf_dir).select(
         "uuid",
         text.raw_object_key(
-            "conbase/", F.lit(standins.LOAD_DATE), F.col("product_id"), F.col("uuid")
+            "baselines/", F.lit(standins.LOAD_DATE), F.col("product_id"), F.col("uuid")
         ).alias("object_key"),
     )
 

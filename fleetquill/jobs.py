@@ -23,7 +23,7 @@ def _retention(args) -> dates.Retention:
 def run_core_load(spark: SparkSession, args) -> object:
     root = args.storage.rstrip("/")
     paths = core_load.CorePaths(
-        args.landing, f"{root}/SQAMODPROD", f"{root}/SQAMODKPB", f"{root}/load_log"
+        args.landing, f"{root}/modprod", f"{root}/modkpb", f"{root}/load_log"
     )
     return core_load.load_core(
         spark, paths, args.load_date, _retention(args), args.watermark

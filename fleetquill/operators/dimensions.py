@@ -203,6 +203,23 @@ def build(dimension: Dimension, sources: Mapping[str, DataFrame]) -> DataFrame:
     return reduced.join(bridge, KEY).select(*dimension.columns).distinct()
 
 
+def covering(
+    dimension: Dimension, others: Sequence[Dimension]
+) -> Dimension | None:
+    """The narrowest other dimension of the same source that holds all its columns.
+
+    Distinct rows of that one's rows are the dimension, so the source need not be
+    read for it.
+    """
+    wider = [
+        d
+        for d in others
+        if d.source == dimension.source
+        and set(d.attributes) > set(dimension.attributes)
+    ]
+    return min(wider, key=lambda d: len(d.attributes), default=None)
+
+
 def all_columns(dimensions: Sequence[Dimension]) -> list[str]:
     """Every column of the given dimensions once, `BASE` first."""
     seen = dict.fromkeys(BASE)

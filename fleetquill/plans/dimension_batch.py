@@ -36,10 +36,11 @@ def write_dimensions(
 ) -> dict[str, str]:
     """Write the chosen dimensions below ``root``; returns their paths by name.
 
-    With ``together`` every source is read once for all of its dimensions, into a
-    staging table partitioned by dimension; the tables are then copies of single
-    partitions. Without it each dimension scans its own columns of the source.
-    The bridge is staged once for all joined dimensions, so the join knows its size.
+    A dimension whose columns another chosen one holds is cut from that one's table,
+    which is far smaller than the source. The others are built from the source: with
+    ``together`` it is read once for all of them, into a staging table partitioned by
+    dimension, else once per dimension with that one's columns. The bridge is staged
+    once for all joined dimensions, so the join knows its size.
     """
     folder = staging.staging_folder(spark, f"{root.rstrip('/')}/_staging")
     sources = dict(sources)
@@ -47,24 +48,30 @@ def write_dimensions(
         sources["model_bridge"] = staging.stage(
             dimensions.model_bridge(sources[dimensions.ERROR_FACT]), f"{folder}/bridge"
         )
-    written = {}
-    for source in dict.fromkeys(d.source for d in chosen):
-        mine = [d for d in chosen if d.source == source]
-        staged = None
+    written: dict[str, str] = {}
+
+    def write(dimension: Dimension, rows: DataFrame) -> None:
+        written[dimension.name] = write_dimension(rows, dimension, root, table_format)
+
+    roots = [d for d in chosen if dimensions.covering(d, chosen) is None]
+    for source in dict.fromkeys(d.source for d in roots):
+        mine = [d for d in roots if d.source == source]
         if together and len(mine) > 1:
             staged = staging.stage(
                 dimensions.build_together(mine, sources),
                 f"{folder}/{source}",
                 partition="dimension",
             )
-        for dimension in mine:
-            if staged is None:
-                rows = dimensions.build(dimension, sources)
-            else:
-                rows = staged.where(F.col("dimension") == dimension.name).select(
-                    *dimension.columns
-                )
-            written[dimension.name] = write_dimension(
-                rows, dimension, root, table_format
-            )
+            for dimension in mine:
+                labelled = staged.where(F.col("dimension") == dimension.name)
+                write(dimension, labelled.select(*dimension.columns))
+        else:
+            for dimension in mine:
+                write(dimension, dimensions.build(dimension, sources))
+    # widest first, so that the table a dimension is cut from is there already
+    covered = [d for d in chosen if d not in roots]
+    for dimension in sorted(covered, key=lambda d: -len(d.attributes)):
+        wider = dimensions.covering(dimension, chosen)
+        table = spark.read.format(table_format).load(written[wider.name])
+        write(dimension, table.select(*dimension.columns).distinct())
     return written

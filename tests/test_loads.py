@@ -288,6 +288,7 @@ def test_a_logged_batch_is_not_merged_again(spark, folder):
 def test_dimension_batch(spark, folder, together):
     sources = queries.dimension_sources(spark, "/root/testdata/sf0.001")
     names = ["dim_main", "dim_dtc", "dim_fault_type", "dim_mis_label", "dim_zp8_date"]
+    names += ["dim_ecu_name", "dim_sw_version", "dim_hw_sw_number"]
     chosen = [dimensions.BY_NAME[n] for n in names]
     paths = dimension_batch.write_dimensions(
         spark, sources, folder, chosen, together=together

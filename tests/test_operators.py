@@ -214,6 +214,19 @@ def test_all_dimensions_are_defined():
     assert sum(d.by_brand for d in dimensions.DIMENSIONS) == 5
 
 
+def test_covering_dimension():
+    def parent(name):
+        found = dimensions.covering(dimensions.BY_NAME[name], dimensions.DIMENSIONS)
+        return found and found.name
+
+    assert parent("dim_sw_version") == "dim_hw_sw_number"
+    assert parent("dim_online_status") == "dim_source_system"
+    assert parent("dim_factory_desc") == "dim_vehicle_model"
+    assert parent("dim_main") is not None
+    assert parent("dim_dfcc") is None
+    assert parent("dim_fault_type") is None
+
+
 def test_together_equals_one_by_one(spark):
     from fleetquill.catalog import queries
 
