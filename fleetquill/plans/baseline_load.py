@@ -32,6 +32,7 @@ def stored_table(paths: BaselinePaths) -> upsert.Table:
         schemas.BASELINE_KEYS,
         "validfrom",
         paths.load_log,
+        prune_by="productId",
     )
 
 
@@ -95,7 +96,7 @@ def load_baselines(
         documents,
         load_date,
         retention,
-        opening=dates.as_date(folders[0]) if initial else None,
+        opening=dates.try_iso_date(F.lit(folders[0])) if initial else None,
     )
     return upsert.upsert_insert_only(
         spark,

@@ -79,16 +79,19 @@ def find_watermark(
 
 
 def new_folders(spark: SparkSession, landing: str, watermark: dt.date) -> list[str]:
-    """Date folders after the watermark. One name per day comes to the driver."""
+    """Date folders after the watermark, oldest first. One name per day comes to the
+    driver."""
     found = listing.require_files(
         listing.relative_to(listing.list_files(spark, landing), landing),
         f"no core files found below {landing}",
     )
     folder = dates.path_segment(F.col("path"), 0)
-    newer = found.select(folder.alias("folder")).where(
-        dates.is_newer(dates.try_iso_date(F.col("folder")), dates.as_date(watermark))
-    )
-    return sorted(row.folder for row in newer.distinct().collect())
+    dated = found.select(folder.alias("folder"), dates.try_iso_date(folder).alias("day"))
+    newer = dated.where(dates.is_newer(F.col("day"), dates.as_date(watermark)))
+    return [
+        row.folder
+        for row in sorted(newer.distinct().collect(), key=lambda r: (r.day, r.folder))
+    ]
 
 
 def load_core(

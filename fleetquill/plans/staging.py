@@ -20,7 +20,7 @@ def staging_folder(spark: SparkSession, fallback: str) -> str:
 
 def stage(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Write a table and read it back: Spark then knows its real size, and lost
-    executors cost no recomputation of what came before."""
+    executors cost no recomputation of what came before. An empty table works too."""
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -7,16 +7,26 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetquill.operators import merge
+from fleetquill.plans import staging
 from fleetquill.sinks import writers
 from fleetquill.sources import load_log, readers
 
 
+# Largest set of batch values that is broadcast, with an allowance per row.
+BROADCAST_BYTES = 8 * 1024 * 1024
+ROW_BYTES = 32
+
+
 @dataclass(frozen=True)
 class Table:
-    """A stored table: where it is, what it holds and what identifies a row."""
+    """A stored table: where it is, what it holds and what identifies a row.
+
+    ``prune_by`` names a key column of which a batch touches few values only.
+    """
 
     name: str
     path: str
@@ -24,6 +34,7 @@ class Table:
     keys: Sequence[str]
     partition: str
     load_log: str
+    prune_by: str | None = None
 
 
 def read_or_empty(spark: SparkSession, table: Table) -> DataFrame:
@@ -32,6 +43,22 @@ def read_or_empty(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame([], table.schema)
 
 
+def matching_part(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The target rows whose ``column`` value occurs in the batch.
+
+    The values are measured first. Up to `BROADCAST_BYTES` they are broadcast and the
+    rest of the target is dropped where it is scanned, before any shuffle. Beyond that
+    the target is returned whole: the merge then shuffles all of its keys.
+    """
+    values = batch.select(column).where(F.col(column).isNotNull()).distinct()
+    size = values.agg(
+        F.coalesce(F.sum(F.octet_length(column) + ROW_BYTES), F.lit(0)).alias("bytes")
+    ).first()["bytes"]
+    if size > BROADCAST_BYTES:
+        return target
+    return target.join(F.broadcast(values), column, "left_semi")
+
+
 def upsert_insert_only(
     spark: SparkSession,
     updates: DataFrame,
@@ -48,12 +75,20 @@ def upsert_insert_only(
     log row follows the data, so a load without one did not finish and can be run
     again: only rows with a null key would be inserted twice. With ``once``, a load id
     that is already logged writes nothing at all.
+
+    A table with ``prune_by`` has its batch staged first, so that it is computed once
+    for looking at its values and for the merge.
     """
     if once:
         log = load_log.read_load_log(spark, table.load_log)
         if load_log.is_committed(log, table.name, load_id):
             return 0
-    new = merge.new_rows(updates, read_or_empty(spark, table), table.keys, **how)
+    target = read_or_empty(spark, table)
+    if table.prune_by is not None:
+        folder = staging.staging_folder(spark, f"{table.load_log.rstrip('/')}_staging")
+        updates = staging.stage(updates, folder)
+        target = matching_part(target, updates, table.prune_by)
+    new = merge.new_rows(updates, target, table.keys, **how)
     written = writers.append_partitioned(
         new.select(*table.schema.fieldNames()),
         table.path,

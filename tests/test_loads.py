@@ -211,7 +211,7 @@ def _validity(spark, path):
 def test_baseline_load_over_snapshots(spark, folder):
     land = f"{folder}/base"
     paths = baseline_load.BaselinePaths(land, f"{folder}/table", f"{folder}/log")
-    write(land, "2024-01-01/V1_a", _baseline("V1", "p", "h1"))
+    write(land, "2024-1-1/V1_a", _baseline("V1", "p", "h1"))
     write(land, "2024-01-02/V1_b", _baseline("V1", "p", "h1"))
     write(land, "2024-01-02/V1_c", _baseline("V1", "p", "h2"))
     assert baseline_load.load_baselines(spark, paths, "2024-02-01", KEEP) == 2
@@ -228,6 +228,15 @@ def test_baseline_load_over_snapshots(spark, folder):
     assert _validity(spark, paths.table)[-1] == ("V2", "h1", "2024-01-03")
 
 
+def test_matching_part_checks_the_size(spark, monkeypatch):
+    target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    batch = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert rows(upsert.matching_part(target, batch, "k")) == [("a", 1)]
+    assert upsert.matching_part(target, batch.limit(0), "k").count() == 0
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 1)
+    assert upsert.matching_part(target, batch, "k").count() == 3
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -300,6 +309,13 @@ def test_dimension_batch(spark, folder, together):
         assert rows(back) == rows(dimensions.build(d, sources))
 
 
+def test_staging_an_empty_table(spark, folder):
+    df = spark.createDataFrame([], "dimension string, n int")
+    for partition in (None, "dimension"):
+        back = staging.stage(df, f"{folder}/{partition}", partition)
+        assert (back.columns, back.count()) == (["dimension", "n"], 0)
+
+
 def test_staging_uses_the_shared_folder(spark, folder):
     shared = spark.conf.get(staging.CHECKPOINT_DIR, None) or folder
     first, second = [staging.staging_folder(spark, folder) for _ in range(2)]
