@@ -248,12 +248,11 @@ def optional_path(spark, sf_dir):
 @query
 def baseline_first_seen(spark, sf_dir):
     """First load: the oldest snapshot is valid from the beginning of time."""
-    documents = _documents(spark, sf_dir)
     return baseline.first_seen(
-        documents,
+        _documents(spark, sf_dir),
         standins.LOAD_DATE,
         RETENTION,
-        opening=baseline.first_snapshot(documents),
+        opening=baseline.first_snapshot(standins.baseline_texts(spark, sf_dir)),
     )
 
 

@@ -133,6 +133,9 @@ def parse_csv_column(
 def parse_json_column(
     df: DataFrame, body: str, schema: T.StructType, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Parse a JSON text column; the document's fields become columns."""
-    parsed = df.select(*keep, F.from_json(body, schema).alias("_doc"))
-    return parsed.select(*keep, "_doc.*")
+    """Parse a JSON text column; the document's fields become columns.
+
+    ``inline`` keeps a later filter on a field from being pushed into the parse, where
+    it would parse every text once more. A text that is no JSON gives nulls.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(body, schema))))

@@ -16,7 +16,7 @@ from fleetquill.operators import (
     moves,
     responses,
 )
-from fleetquill.sources import listing, load_log
+from fleetquill.sources import listing, load_log, readers
 
 D = dt.date
 
@@ -182,6 +182,16 @@ def test_flatten_with_inferred_schemas(spark):
     assert rows(part) == [("P", "N", "T", "1", "H", None, None, None, "V1")]
 
 
+def test_json_is_parsed_once_and_bad_texts_give_nulls(spark):
+    texts = [DOCUMENTS[0], "junk", None]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    parsed = readers.parse_json_column(df, "d", schemas.BASELINE_DOCUMENT)
+    assert rows(parsed.select("content.productId")) == [(None,), (None,), ("V1",)]
+    kept = baseline.flatten(parsed)
+    assert kept.count() == 4
+    assert kept._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_first_seen_equals_merging_one_snapshot_after_the_other(spark, documents):
     keep = dates.Retention(15)
     days = ["2024-01-01", "2024-01-02", "2024-01-03"]
