@@ -132,18 +132,11 @@ def incremental_core_load(spark, sf_dir):
     lines = listing.newer_than(
         standins.core_files(spark, sf_dir), dates.as_date("2024-01-05")
     )
-    loaded = []
-    for name, (_, columns) in schemas.CORE_CLASSES.items():
-        counted = merge.count_copies(
-            core_load.rows_from_lines(lines, name), columns, core_load.FILE_ORDER
-        )
-        loaded.append(
-            core.with_load_dates(
-                merge.repeat_copies(counted), standins.LOAD_DATE, RETENTION
-            ).withColumn("table_class", F.lit(name))
-        )
-    modprod, modkpb = loaded
-    return modprod.unionByName(modkpb, allowMissingColumns=True)
+    counted = merge.count_copies(
+        core_load.rows_from_lines(lines), core.POSITIONS, core_load.FILE_ORDER
+    )
+    rows = core.name_by_class(merge.repeat_copies(counted))
+    return core.with_load_dates(rows, standins.LOAD_DATE, RETENTION)
 
 
 @query

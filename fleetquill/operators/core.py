@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from fleetquill import schemas
 from fleetquill.functions import dates, text
-from fleetquill.sources import readers
 
 LOAD_DATE = "Load_Date"
 DELETION_DATE = "KSU_LOESCH_DATUM"
+# Names of delivered fields while only their position is known.
+POSITIONS = ["_c0", "_c1", "_c2", "_c3"]
 
 
 def load_dates(
@@ -42,13 +43,16 @@ def to_stored(df: DataFrame, table_class: str) -> DataFrame:
     return stored_names(df, table_class, LOAD_DATE, DELETION_DATE)
 
 
-def parse_class_lines(
-    lines: DataFrame, table_class: str, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Rows of one class, as delivered columns, from classified data lines."""
-    header, _ = schemas.CORE_CLASSES[table_class]
-    mine = lines.where(F.col("table_class") == table_class)
-    return readers.parse_csv_column(mine, "line", header, keep)
+def name_by_class(fields: DataFrame) -> DataFrame:
+    """Positional fields of mixed classes under stored names; a column that a row's
+    class does not have is null."""
+    named: dict[str, Column] = {}
+    for table_class, (_, names) in schemas.CORE_CLASSES.items():
+        for position, name in zip(POSITIONS, names):
+            value = F.when(F.col("table_class") == table_class, F.col(position))
+            named[name] = F.coalesce(named[name], value) if name in named else value
+    rest = [c for c in fields.columns if c not in POSITIONS]
+    return fields.select(*rest, *[v.alias(n) for n, v in named.items()])
 
 
 def merge_keys(table_class: str) -> list[str]:

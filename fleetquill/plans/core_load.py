@@ -42,14 +42,15 @@ def stored_table(paths: CorePaths, table_class: str) -> upsert.Table:
     )
 
 
-def rows_from_lines(lines: DataFrame, table_class: str) -> DataFrame:
-    """Rows of one class, with their file's path, from lines held in a table.
+def rows_from_lines(lines: DataFrame) -> DataFrame:
+    """Fields of all known files, with class and path, from lines held in a table.
 
     Input: path, position, line of every file, headers included.
     """
     data = classify.data_lines(lines, classify.classify_files(lines))
-    parsed = core.parse_class_lines(data, table_class, (FILE_ORDER,))
-    return core.stored_names(parsed, table_class, FILE_ORDER)
+    return readers.parse_csv_column(
+        data, "line", core.POSITIONS, ("table_class", FILE_ORDER)
+    )
 
 
 def rows_from_files(
@@ -59,7 +60,7 @@ def rows_from_files(
     _, names = schemas.CORE_CLASSES[table_class]
     mine = classes.where(F.col("table_class") == table_class)
     return classify.attach_class(fields, mine).select(
-        *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)], FILE_ORDER
+        *[F.col(c).alias(n) for c, n in zip(core.POSITIONS, names)], FILE_ORDER
     )
 
 
@@ -118,7 +119,7 @@ def load_core(
         classify.classify_files(readers.read_core_lines(spark, sources)),
         staging.staging_folder(spark, f"{paths.load_log.rstrip('/')}_staging"),
     )
-    fields = readers.read_core_fields(spark, sources)
+    fields = readers.read_core_fields(spark, sources, core.POSITIONS)
     load_id = f"core-{load_date}-{folders[0]}-{folders[-1]}"
     for name in schemas.CORE_CLASSES:
         rows = rows_from_files(fields, classes, name)

@@ -106,14 +106,15 @@ def read_core_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def read_core_fields(spark: SparkSession, paths: Paths, columns: int = 4) -> DataFrame:
-    """The fields ``_c0``, ``_c1``... below the headers of any mix of core files, with path.
+def read_core_fields(
+    spark: SparkSession, paths: Paths, names: Sequence[str]
+) -> DataFrame:
+    """The fields below the headers of any mix of core files, by position, with path.
 
-    Names come from the class of a file, not from here, so one scan serves all files.
+    What a field means depends on the class of its file, so one scan serves all files.
     """
-    schema = ", ".join(f"_c{i} STRING" for i in range(columns))
     return (
-        spark.read.schema(schema)
+        spark.read.schema(", ".join(f"{n} STRING" for n in names))
         .option("header", True)
         .option("delimiter", ";")
         .csv(_paths(paths))
@@ -124,10 +125,15 @@ def read_core_fields(spark: SparkSession, paths: Paths, columns: int = 4) -> Dat
 def parse_csv_column(
     df: DataFrame, line: str, names: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Split a ``;`` text column into string columns; an empty field is null."""
+    """Split a ``;`` text column into string columns; an empty field is null.
+
+    ``inline`` keeps a later filter on a field from being pushed into the parse, where
+    it would parse every line once more.
+    """
     schema = ", ".join(f"`{n}` STRING" for n in names)
-    parsed = df.select(*keep, F.from_csv(line, schema, {"sep": ";"}).alias("_row"))
-    return parsed.select(*keep, *[F.col(f"_row.`{n}`").alias(n) for n in names])
+    return df.select(
+        *keep, F.inline(F.array(F.from_csv(line, schema, {"sep": ";"})))
+    )
 
 
 def parse_json_column(
@@ -135,7 +141,6 @@ def parse_json_column(
 ) -> DataFrame:
     """Parse a JSON text column; the document's fields become columns.
 
-    ``inline`` keeps a later filter on a field from being pushed into the parse, where
-    it would parse every text once more. A text that is no JSON gives nulls.
+    Each text is parsed once, as above. A text that is no JSON gives nulls.
     """
     return df.select(*keep, F.inline(F.array(F.from_json(body, schema))))
