@@ -88,7 +88,7 @@ def run_move_plan(spark: SparkSession, args) -> object:
 
 
 def run_due(spark: SparkSession, args) -> object:
-    control = readers.read_csv_inferred(spark, args.control)
+    control = readers.read_maintenance_control(spark, args.control, args.task)
     due = maintenance.due(control, args.task, args.today)
     due.write.mode("overwrite").parquet(args.output)
     return args.output

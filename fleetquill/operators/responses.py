@@ -16,7 +16,7 @@ FIRST_FAILURE = 400
 
 
 def is_skipped(status: Column) -> Column:
-    return status.isin(SKIPPED_STATUSES)
+    return F.coalesce(status.isin(SKIPPED_STATUSES), F.lit(False))
 
 
 def overview_uuids(overviews: DataFrame, body: str, keep: tuple[str, ...] = ()) -> DataFrame:

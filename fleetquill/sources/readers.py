@@ -47,6 +47,18 @@ def read_csv_positional(
     return raw.selectExpr(*[f"_c{i} AS `{name}`" for i, name in enumerate(names)])
 
 
+def read_maintenance_control(
+    spark: SparkSession, paths: Paths, task: str
+) -> DataFrame:
+    """Control file of one maintenance task; its mostly empty columns have real types."""
+    return (
+        spark.read.schema(schemas.maintenance_control(task))
+        .option("header", True)
+        .option("dateFormat", "yyyy-MM-dd")
+        .csv(_paths(paths))
+    )
+
+
 def read_baselines(
     spark: SparkSession, paths: Paths, multi_line: bool = False
 ) -> DataFrame:

@@ -363,7 +363,11 @@ def test_jobs(spark, folder, core_paths):
         "table_name,s3_table_path,days,vacuum_flag,retention_days,vacuum_last_run,vacuum_next_run",
         "t,p,1,true,7,2024-02-01,",
         "u,p,1,false,7,2024-02-01,",
+        "v,p,1,,,,",
+        "w,p,,true,,,",
     )
     due = ["due", "--control", f"{folder}/control.csv", "--task", "vacuum"]
     jobs.main([*due, "--today", "2024-02-02", "--output", f"{folder}/due"])
-    assert rows(spark.read.parquet(f"{folder}/due").select("table_name")) == [("t",)]
+    due = spark.read.parquet(f"{folder}/due")
+    assert rows(due.select("table_name")) == [("t",), ("w",)]
+    assert dict(due.dtypes)["vacuum_next_run"] == "date"
