@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from fleetquill.catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare.difference(df, con, entry.oracle_sql()[name]) is None
