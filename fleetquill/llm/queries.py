@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import language, packing
+from fleetquill.llm import language, packing, toxicity
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -50,9 +50,26 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with their toxicity, learned from the labels that are not held out."""
+    learn = labels.where(remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.score(docs, toxicity.fit(docs, learn))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rated(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
