@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import language, packing, toxicity
+from fleetquill.llm import language, packing, pii, toxicity
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -50,6 +50,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("pii")
+    return found.select(
+        "doc_id",
+        *[pii.count(spans, kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.listed(pii.base_only(spans)), 256).alias("base_sha256"),
+        pii.listed(spans).alias("spans"),
+    )
+
+
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with their toxicity, learned from the labels that are not held out."""
     learn = labels.where(remainder(F.col("doc_id"), 5) != 0)
@@ -69,6 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
+    "op5_pii": op5_pii,
     "op10_toxicity": op10_toxicity,
 }
 
