@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import language, packing, pii, toxicity
+from fleetquill.llm import decontamination, language, packing, pii, toxicity
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -61,6 +61,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    checked = decontamination.annotate(docs, table(spark, sf_dir, "benchmark"))
+    return checked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"),
+    )
+
+
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with their toxicity, learned from the labels that are not held out."""
     learn = labels.where(remainder(F.col("doc_id"), 5) != 0)
@@ -81,6 +94,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
+    "op6_decontamination": op6_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
