@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import decontamination, language, packing, pii, toxicity
+from fleetquill.llm import decontamination, language, packing, pii, simhash, toxicity
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -38,6 +38,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(pieces(table(spark, sf_dir, "documents"))).select(
         "doc_id",
@@ -92,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
