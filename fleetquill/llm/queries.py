@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import decontamination, language, packing, pii, simhash, toxicity
+from fleetquill.llm import decontamination, language, packing, pii, repeats, simhash, toxicity
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -80,6 +80,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with their toxicity, learned from the labels that are not held out."""
     learn = labels.where(remainder(F.col("doc_id"), 5) != 0)
@@ -102,6 +108,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
+    "op7_repeats": op7_repeats,
     "op10_toxicity": op10_toxicity,
 }
 
