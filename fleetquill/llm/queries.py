@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import decontamination, language, packing, pii, repeats, simhash, toxicity
+from fleetquill.llm import chat, decontamination, language, packing, pii, repeats, simhash, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -27,6 +27,12 @@ def pieces(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(remainder(F.col("doc_id"), 4) != 2))
@@ -92,6 +98,13 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, learn))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.render(chat.fold(chat.events(rows))))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rated(docs, table(spark, sf_dir, "labels")).select(
@@ -103,13 +116,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_repeats": op7_repeats,
+    "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_chat": f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), whole AS (
+    SELECT conv_id,
+           count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+           coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+           CAST(sum(length('<|turn|>') + length(replace({ESCAPED.format("role")}, chr(10), '&nl;')) + 1
+                    + length({ESCAPED.format("text")}) + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
+    FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM whole
+""",
+}
