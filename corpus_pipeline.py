@@ -3,16 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetquill.llm import queries, shared
+from fleetquill.llm import decontamination, pii, queries, shared, simhash
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labels, does not reject."""
+    rated = queries.rated(docs, queries.table(spark, sf_dir, "labels"))
+    return rated.where(F.col("toxicity") < 0.5).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, that with the smallest id."""
+    return simhash.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in benchmark windows."""
+    checked = decontamination.annotate(docs, queries.table(spark, sf_dir, "benchmark"))
+    return checked.where(~decontamination.contaminated()).select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked, their length counted anew."""
+    masked = pii.redact(pii.find(docs))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of power-of-two lengths."""
     return queries.pieces(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near-duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("personal-data", without_personal_data),
+    ("packing", packed),
+]
 
+#: Training, hashing and tokenizing have no counterpart in SQL; tests/llm holds the result
+#: of run() against the stages written out in plain Python.
 ORACLE_SQL = None
 
 

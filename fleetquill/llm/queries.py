@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import chat, decontamination, language, packing, pii, repeats, simhash, toxicity, warc
+from fleetquill.llm import chat, decontamination, language, neighbours, packing, pii, repeats, simhash, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -98,6 +98,10 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, learn))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), every=100)
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -123,6 +127,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_repeats": op7_repeats,
+    "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
 }

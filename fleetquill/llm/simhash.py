@@ -199,5 +199,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(shared.stage(whole, "fingerprint-classes"), "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of every component the row with the smallest id; rows without id stay, as no
+    other row could be told to stand for them."""
+    classes = near_duplicates(docs, id_col, text_col)
+    chosen = classes.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    first = docs.join(chosen, id_col, "left_semi").dropDuplicates([id_col])
+    return first.unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

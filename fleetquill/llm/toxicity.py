@@ -40,7 +40,7 @@ DECAY = 0.6
 GRAMS = (4, 6)
 BLOCK = 1 << 20
 PATTERNS = [(a, a + b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
-PER_CLASS = 2000
+PER_CLASS = 1500
 MAX_BYTES = 32_768
 MAX_SEEDS = 80
 ROUNDS = 3
@@ -157,20 +157,20 @@ def seeds(texts: list[np.ndarray], toxic: np.ndarray) -> list[int]:
     def own(symbols: np.ndarray) -> np.ndarray:
         return np.unique(np.concatenate([g[ok] for g, ok in map(lambda k: gram_codes(symbols, k), GRAMS)]))
 
-    each = [own(t) for t in texts]
-    in_toxic, n = np.unique(np.concatenate([g for g, y in zip(each, toxic, strict=True) if y]), return_counts=True)
-    in_clean, m = np.unique(np.concatenate([g for g, y in zip(each, toxic, strict=True) if not y]), return_counts=True)
+    of_kind = {kind: [t for t, y in zip(texts, toxic, strict=True) if y == kind] for kind in (True, False)}
+    in_toxic, n = np.unique(np.concatenate([own(t) for t in of_kind[True]]), return_counts=True)
     clean_n = np.zeros(len(in_toxic), np.int64)
-    found = np.searchsorted(in_clean, in_toxic)
-    there = (found < len(in_clean)) & (in_clean[np.minimum(found, len(in_clean) - 1)] == in_toxic)
-    clean_n[there] = m[found[there]]
+    for t in of_kind[False] if len(in_toxic) else []:
+        grams = own(t)
+        found = np.minimum(np.searchsorted(in_toxic, grams), len(in_toxic) - 1)
+        clean_n[found[in_toxic[found] == grams]] += 1
     rate = np.log((n + 0.5) / (toxic.sum() + 1)) - np.log((clean_n + 0.5) / ((~toxic).sum() + 1))
     good = np.flatnonzero((rate > 1.5) & (n >= 2))
     good = good[np.argsort(-(rate * np.sqrt(n))[good], kind="stable")][:4000]
     grams, cost = in_toxic[good], clean_n[good]
     order = np.argsort(grams)
     member = np.zeros((int(toxic.sum()), len(grams)), bool)
-    for row, own_grams in enumerate(g for g, y in zip(each, toxic, strict=True) if y):
+    for row, own_grams in enumerate(map(own, of_kind[True])):
         place = np.searchsorted(grams[order], own_grams)
         hit = (place < len(grams)) & (grams[order][np.minimum(place, len(grams) - 1)] == own_grams)
         member[row, order[place[hit]]] = True
