@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,11 +122,11 @@ def page_archives(pages: DataFrame, date: str = "20240101000000", archive_bytes:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[str, bytes]] = []
         size = number = 0
-        first: object = None
+        task = TaskContext.get().partitionId()  # the same when a lost executor's task runs again
 
         def archive() -> pa.RecordBatch:
             version = 1 + number % 2
-            name = f"legacy-{first}-{number}.arc"
+            name = f"legacy-{task}-{number}.arc"
             content = arc_file(name, version, date, held)
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], names=["name", "content"])
 
@@ -141,8 +142,6 @@ def page_archives(pages: DataFrame, date: str = "20240101000000", archive_bytes:
                 if held and size + len(payload) > archive_bytes:
                     yield archive()
                     held, size, number = [], 0, number + 1
-                if not held:
-                    first = f"{page_id}-{digest(payload)}"
                 held.append((where, head.encode() + payload))
                 size += len(payload) + len(head)
         if held:

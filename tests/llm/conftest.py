@@ -1,0 +1,13 @@
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A table of documents from (doc_id, text) pairs, or from longer tuples."""
+
+    def make(rows, schema="doc_id long, text string"):
+        return spark.createDataFrame(rows, schema)
+
+    return make
