@@ -24,6 +24,7 @@ table; other columns are kept, but for columns named like the results, which are
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from fleetquill.llm import shared
 
 LENGTH = 200
 GRAM = 32
-SPLIT = 2000
+SPLIT = 5000
 BLOCK = 1 << 20
 PLACE_BITS = 24
 SORTED_BYTES = 256 << 10
@@ -138,7 +139,25 @@ def all_runs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(scan, RUN)
 
 
-def suffix_array(text: bytes, depth: int) -> list[int]:
+def sorted_suffixes(text: bytes, suffixes: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes in the order of their first ``depth`` bytes: by their first eight as numbers,
+    then each group that these leave equal by the rest."""
+    padded = np.frombuffer(text + bytes(8), np.uint8)
+    heads = np.zeros(len(suffixes), np.uint64)
+    for k in range(min(8, depth)):
+        heads |= padded[suffixes + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    order = np.argsort(heads, kind="stable")
+    suffixes, heads = suffixes[order], heads[order]
+    starts = np.flatnonzero(np.append(True, heads[1:] != heads[:-1]))
+    sizes = np.diff(np.append(starts, len(heads)))
+    for start, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+        group = suffixes[start : start + size].tolist()
+        group.sort(key=lambda i: text[i : i + depth])
+        suffixes[start : start + size] = group
+    return suffixes
+
+
+def suffix_array(text: bytes, depth: int) -> array:
     """Suffixes in the order of their first ``depth`` bytes at least, by two-stage sorting."""
     n = len(text)
     symbols = np.frombuffer(text, np.uint8).astype(np.int16)
@@ -147,15 +166,14 @@ def suffix_array(text: bytes, depth: int) -> list[int]:
     rising = step[np.minimum.accumulate(decides[::-1])[::-1]] > 0
     counts = np.bincount(symbols, minlength=256)
     head = (np.cumsum(counts) - counts).tolist()
-    direct = sorted(np.flatnonzero(rising).tolist(), key=lambda i: text[i : i + depth])
-    order = [-1] * n
+    direct = sorted_suffixes(text, np.flatnonzero(rising), depth)
+    order = array("i", [-1]) * n
     # smaller suffixes stand at the end of their bucket: those that are induced come first
     bucket = symbols[direct]
     sizes = np.bincount(bucket, minlength=256)
     place = np.cumsum(counts)[bucket] - np.cumsum(sizes)[bucket] + np.arange(len(direct))
-    for where, suffix in zip(place.tolist(), direct, strict=True):
-        order[where] = suffix
-    falling = (~rising).tolist()
+    np.frombuffer(order, np.int32)[place] = direct
+    falling = (~rising).tobytes()
     last = text[n - 1]
     order[head[last]] = n - 1
     head[last] += 1
