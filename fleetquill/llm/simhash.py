@@ -180,7 +180,9 @@ def edges(prints: DataFrame) -> DataFrame:
         if len(keys):
             yield linked(keys, fps)
 
-    rows = prints.select(F.explode(variants(F.col("fp"))).alias("key"), "fp")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = prints.repartition(tasks, "fp")  # few rows, each of which becomes 196
+    rows = spread.select(F.explode(variants(F.col("fp"))).alias("key"), "fp")
     return rows.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(meet, "a long, b long").distinct()
 
 
