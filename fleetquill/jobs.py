@@ -46,17 +46,15 @@ def run_dimensions(spark: SparkSession, args) -> object:
         dimensions.COMPLAINTS: args.complaints,
         dimensions.VEHICLES: args.vehicles,
     }
+    chosen = [dimensions.BY_NAME[n] for n in args.only or dimensions.BY_NAME]
+    absent = {s for d in chosen for s in d.sources if not sources[s]}
+    if absent:
+        raise ValueError(f"no path given for {', '.join(sorted(absent))}")
     known = {
         name: readers.read_table_path(spark, path, table_format=args.format)
         for name, path in sources.items()
         if path
     }
-    wanted = args.only or list(dimensions.BY_NAME)
-    chosen = [
-        dimensions.BY_NAME[n]
-        for n in wanted
-        if set(dimensions.BY_NAME[n].sources) <= set(known)
-    ]
     return dimension_batch.write_dimensions(
         spark,
         known,

@@ -42,24 +42,28 @@ def stored_table(paths: CorePaths, table_class: str) -> upsert.Table:
     )
 
 
-def rows_from_lines(lines: DataFrame) -> DataFrame:
-    """Fields of all known files, with class and path, from lines held in a table.
+def first_lines(lines: DataFrame) -> DataFrame:
+    """Lines of the files' first splits, which hold their headers."""
+    return lines.where(F.col("position.start") == 0)
+
+
+def rows_from_lines(lines: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Fields of all known files, with class and path, from their lines.
 
     Input: path, position, line of every file, headers included.
     """
-    data = classify.data_lines(lines, classify.classify_files(lines))
+    if classes is None:
+        classes = classify.classify_files(lines)
+    data = classify.data_lines(lines, classes)
     return readers.parse_csv_column(
         data, "line", core.POSITIONS, ("table_class", FILE_ORDER)
     )
 
 
-def rows_from_files(
-    fields: DataFrame, classes: DataFrame, table_class: str
-) -> DataFrame:
-    """Rows of one class, with their file's path, from scanned fields."""
+def rows_of_class(fields: DataFrame, table_class: str) -> DataFrame:
+    """Rows of one class, named as they are stored, with their file's path."""
     _, names = schemas.CORE_CLASSES[table_class]
-    mine = classes.where(F.col("table_class") == table_class)
-    return classify.attach_class(fields, mine).select(
+    return fields.where(F.col("table_class") == table_class).select(
         *[F.col(c).alias(n) for c, n in zip(core.POSITIONS, names)], FILE_ORDER
     )
 
@@ -95,6 +99,42 @@ def new_folders(spark: SparkSession, landing: str, watermark: dt.date) -> list[s
     ]
 
 
+def merge_lines(
+    spark: SparkSession,
+    lines: DataFrame,
+    paths: CorePaths,
+    load_date: str | dt.date,
+    retention: dates.Retention,
+    load_id: str,
+    once: bool = False,
+) -> dict[str, int]:
+    """Merge the lines of any mix of files into both tables; rows written per table.
+
+    The lines are read twice: once for the files' headers, once for their fields. Both
+    results are staged, the fields by class, so the merges know their sizes and read
+    their own class only. What was staged goes after the last log row.
+    """
+    fallback = f"{paths.load_log.rstrip('/')}_staging"
+    folders = [staging.staging_folder(spark, fallback) for _ in range(2)]
+    classes = staging.stage(classify.classify_files(first_lines(lines)), folders[0])
+    fields = staging.stage(rows_from_lines(lines, classes), folders[1], "table_class")
+    written = {
+        name: upsert.upsert_insert_only(
+            spark,
+            rows_of_class(fields, name),
+            stored_table(paths, name),
+            load_id=load_id,
+            once=once,
+            file_order=FILE_ORDER,
+            constants=core.load_dates(load_date, retention),
+        )
+        for name in schemas.CORE_CLASSES
+    }
+    for folder in folders:
+        staging.drop(spark, folder)
+    return written
+
+
 def load_core(
     spark: SparkSession,
     paths: CorePaths,
@@ -105,30 +145,13 @@ def load_core(
     """Load every file of the folders after the watermark; rows written per table.
 
     The files of all folders are classified in one job and merged with one job per
-    table, whatever their number. The classes are staged: the text is read once for
-    them, and the merges know their size.
+    table, whatever their number.
     """
     since = find_watermark(spark, paths, watermark)
     folders = new_folders(spark, paths.landing, since)
-    written = dict.fromkeys(schemas.CORE_CLASSES, 0)
     if not folders:
-        return written
+        return dict.fromkeys(schemas.CORE_CLASSES, 0)
     root = paths.landing.rstrip("/")
-    sources = [f"{root}/{folder}" for folder in folders]
-    classes = staging.stage(
-        classify.classify_files(readers.read_core_lines(spark, sources)),
-        staging.staging_folder(spark, f"{paths.load_log.rstrip('/')}_staging"),
-    )
-    fields = readers.read_core_fields(spark, sources, core.POSITIONS)
+    lines = readers.read_core_lines(spark, [f"{root}/{folder}" for folder in folders])
     load_id = f"core-{load_date}-{folders[0]}-{folders[-1]}"
-    for name in schemas.CORE_CLASSES:
-        rows = rows_from_files(fields, classes, name)
-        written[name] = upsert.upsert_insert_only(
-            spark,
-            rows,
-            stored_table(paths, name),
-            load_id=load_id,
-            file_order=FILE_ORDER,
-            constants=core.load_dates(load_date, retention),
-        )
-    return written
+    return merge_lines(spark, lines, paths, load_date, retention, load_id)

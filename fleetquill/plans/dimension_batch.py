@@ -74,4 +74,5 @@ def write_dimensions(
         wider = dimensions.covering(dimension, chosen)
         table = spark.read.format(table_format).load(written[wider.name])
         write(dimension, table.select(*dimension.columns).distinct())
+    staging.drop(spark, folder)
     return written

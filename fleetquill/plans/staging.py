@@ -9,15 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def is_machine_local(path: str) -> bool:
+    return path.startswith("file:")
+
+
 def staging_folder(spark: SparkSession, fallback: str) -> str:
     """A new folder in the shared folder the cluster names for checkpoints.
 
-    ``fallback`` serves where none is named; it has to be shared storage as well.
+    ``fallback`` serves where none is named; it has to be shared storage as well, which
+    a path on a cluster member's own disk is not.
     """
-    shared = spark.conf.get(CHECKPOINT_DIR, None) or fallback
+    master = spark.sparkContext.master
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if not named and not master.startswith("local") and is_machine_local(fallback):
+        raise ValueError(f"{fallback} is not shared: set {CHECKPOINT_DIR}")
+    shared = named or fallback
     return f"{shared.rstrip('/')}/fleetquill-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Write a table and read it back: Spark then knows its real size, and lost
     executors cost no recomputation of what came before. An empty table works too."""

@@ -16,11 +16,6 @@ from fleetquill.sinks import writers
 from fleetquill.sources import load_log, readers
 
 
-# Largest set of batch values that is broadcast, with an allowance per row.
-BROADCAST_BYTES = 8 * 1024 * 1024
-ROW_BYTES = 32
-
-
 @dataclass(frozen=True)
 class Table:
     """A stored table: where it is, what it holds and what identifies a row.
@@ -43,20 +38,13 @@ def read_or_empty(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame([], table.schema)
 
 
-def matching_part(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The target rows whose ``column`` value occurs in the batch.
+def matching_part(target: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The target rows whose ``column`` value is among the given distinct values.
 
-    The values are measured first. Up to `BROADCAST_BYTES` they are broadcast and the
-    rest of the target is dropped where it is scanned, before any shuffle. Beyond that
-    the target is returned whole: the merge then shuffles all of its keys.
+    The values are a staged table, so Spark knows their size and chooses the join: few
+    of them are broadcast and the rest of the target is dropped where it is scanned.
     """
-    values = batch.select(column).where(F.col(column).isNotNull()).distinct()
-    size = values.agg(
-        F.coalesce(F.sum(F.octet_length(column) + ROW_BYTES), F.lit(0)).alias("bytes")
-    ).first()["bytes"]
-    if size > BROADCAST_BYTES:
-        return target
-    return target.join(F.broadcast(values), column, "left_semi")
+    return target.join(values, column, "left_semi")
 
 
 def upsert_insert_only(
@@ -77,17 +65,21 @@ def upsert_insert_only(
     that is already logged writes nothing at all.
 
     A table with ``prune_by`` has its batch staged first, so that it is computed once
-    for looking at its values and for the merge.
+    for looking at its values and for the merge; what was staged goes after the log row.
     """
     if once:
         log = load_log.read_load_log(spark, table.load_log)
         if load_log.is_committed(log, table.name, load_id):
             return 0
     target = read_or_empty(spark, table)
+    staged: list[str] = []
     if table.prune_by is not None:
-        folder = staging.staging_folder(spark, f"{table.load_log.rstrip('/')}_staging")
-        updates = staging.stage(updates, folder)
-        target = matching_part(target, updates, table.prune_by)
+        fallback = f"{table.load_log.rstrip('/')}_staging"
+        staged += [staging.staging_folder(spark, fallback) for _ in range(2)]
+        updates = staging.stage(updates, staged[0])
+        values = updates.select(table.prune_by).where(F.col(table.prune_by).isNotNull())
+        values = staging.stage(values.distinct(), staged[1])
+        target = matching_part(target, values, table.prune_by)
     new = merge.new_rows(updates, target, table.keys, **how)
     written = writers.append_partitioned(
         new.select(*table.schema.fieldNames()),
@@ -104,4 +96,6 @@ def upsert_insert_only(
         written,
         committed_at or dt.datetime.now(dt.timezone.utc),
     )
+    for folder in staged:
+        staging.drop(spark, folder)
     return written

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,16 +26,31 @@ def list_files(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
     )
 
 
+def plain_root(root: str) -> str:
+    """A root as listed paths show it: without empty, `.` and `..` segments."""
+    scheme, mark, rest = root.rpartition("://")
+    if not mark and rest.startswith("file:"):
+        rest = rest.removeprefix("file:")
+    host, slash, path = rest.partition("/") if mark else ("", "", rest)
+    clean = posixpath.normpath((slash + path) or "/").replace("//", "/")
+    return f"{scheme}{mark}{host}{clean}"
+
+
 def relative_to(listing: DataFrame, root: str) -> DataFrame:
-    """Cut everything up to and including ``root`` from the paths, giving object keys."""
-    marker = root.rstrip("/") + "/"
-    start = F.locate(marker, F.col("path")) + len(marker)
+    """Cut everything up to and including ``root`` from the paths, giving object keys.
+
+    A path that does not lie below the root, as with a root that is a pattern, is an
+    error when the rows are read: its key could only be guessed.
+    """
+    marker = plain_root(root).rstrip("/") + "/"
+    path = F.col("path")
+    start = F.locate(marker, path) + len(marker)
+    outside = F.raise_error(F.concat(path, F.lit(f" is not below {root}")))
     return listing.withColumn(
         "path",
-        F.when(
-            F.col("path").contains(marker),
-            F.substring(F.col("path"), start, F.length("path")),
-        ).otherwise(F.col("path")),
+        F.when(path.contains(marker), F.substring(path, start, F.length(path))).otherwise(
+            outside.cast("string")
+        ),
     )
 
 

@@ -99,39 +99,26 @@ def read_files(spark: SparkSession, paths: Paths, file_format: str) -> DataFrame
     raise ValueError(f"unknown file format: {file_format!r}")
 
 
-def read_core_lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Non-blank first-split lines of any mix of core files, to tell their headers.
+def located_lines(text: DataFrame) -> DataFrame:
+    """(path, start, line): non-blank lines of a text scan, batch or stream, with the
+    place of their split in the file."""
+    return text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").alias("line"),
+    ).where(F.trim("line") != "")
 
-    ``position`` orders the lines of one file: they come from its split at byte 0, and
-    a split is read in order by one task.
-    """
-    return (
-        spark.read.text(_paths(paths))
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("position"),
-            F.col("value").alias("line"),
-        )
-        .where((F.col("_start") == 0) & (F.trim("line") != ""))
-        .drop("_start")
-    )
 
+def positioned(lines: DataFrame) -> DataFrame:
+    """(path, position, line): ``position`` orders the lines of one file, first by the
+    split they come from, then within it, which one task reads in order."""
+    number = F.monotonically_increasing_id().alias("number")
+    return lines.select("path", F.struct("start", number).alias("position"), "line")
 
-def read_core_fields(
-    spark: SparkSession, paths: Paths, names: Sequence[str]
-) -> DataFrame:
-    """The fields below the headers of any mix of core files, by position, with path.
 
-    What a field means depends on the class of its file, so one scan serves all files.
-    """
-    return (
-        spark.read.schema(", ".join(f"{n} STRING" for n in names))
-        .option("header", True)
-        .option("delimiter", ";")
-        .csv(_paths(paths))
-        .select("*", F.col("_metadata.file_path").alias("path"))
-    )
+def read_core_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Lines of any mix of core files."""
+    return positioned(located_lines(spark.read.text(_paths(paths))))
 
 
 def parse_csv_column(

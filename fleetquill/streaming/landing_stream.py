@@ -1,67 +1,88 @@
-"""File-source streams that merge landed files as they come.
+"""File-source streams that load landed files as they come.
 
 The stream's checkpoint remembers which files were taken, so no date watermark is
-needed. Every micro-batch is one insert-only merge, logged under its batch number: a
-batch that is replayed after a failure finds its log row and writes nothing.
+needed. Micro-batches only collect: each writes its lines or documents below a pending
+folder, under its batch number, so a batch that is replayed overwrites itself. When the
+stream has taken all that had arrived, everything pending is merged at once, as the
+batch loads do. Neither the size of the batches nor the order in which files arrived
+shows in the tables.
+
+The merge is logged under the last batch's number. A run that fails before its log
+row finds its batches still pending; one that fails after it finds the row.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from fleetquill import schemas
 from fleetquill.functions import dates
-from fleetquill.operators import baseline, core
-from fleetquill.plans import baseline_load, core_load, upsert
+from fleetquill.operators import baseline
+from fleetquill.plans import baseline_load, core_load, staging, upsert
+from fleetquill.sources import readers
 
+BATCH = "_batch"
 
-def _start(stream: DataFrame, merge_batch, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(merge_batch)
+
+def collect(
+    stream: DataFrame,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> tuple[DataFrame, int] | None:
+    """All that had arrived and was not merged yet, and the last batch's number.
+
+    ``prepare`` adds to a batch what a stream cannot.
+    """
+    spark = stream.sparkSession
+    pending = pending_folder(checkpoint)
+
+    def keep(batch: DataFrame, number: int) -> None:
+        prepare(batch).write.mode("overwrite").parquet(f"{pending}/{BATCH}={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    if not staging.exists(spark, pending):
+        return None
+    waiting = spark.read.parquet(pending)
+    last = waiting.agg(F.max(BATCH)).first()[0]
+    return None if last is None else (waiting.drop(BATCH), last)
+
+
+def pending_folder(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-pending"
 
 
 def stream_core(
     spark: SparkSession,
     landing: str,
-    table_class: str,
     paths: core_load.CorePaths,
     checkpoint: str,
     load_date: str | dt.date,
     retention: dates.Retention = dates.Retention(),
     files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Merge the delivered files of one class below ``landing`` (a folder or a glob)."""
-    header, _ = schemas.CORE_CLASSES[table_class]
-    stream = (
-        spark.readStream.schema(", ".join(f"{c} STRING" for c in header))
-        .option("header", True)
-        .option("delimiter", ";")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
-        .select("*", F.col("_metadata.file_path").alias(core_load.FILE_ORDER))
+) -> dict[str, int]:
+    """Merge all new files below ``landing`` (a folder or a glob) into the table of their
+    class; files with unknown headers are left out. Rows written per table."""
+    text = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+    found = collect(readers.located_lines(text), checkpoint, readers.positioned)
+    if found is None:
+        return dict.fromkeys(schemas.CORE_CLASSES, 0)
+    lines, last = found
+    load_id = f"{checkpoint}#{last}"
+    written = core_load.merge_lines(
+        spark, lines, paths, load_date, retention, load_id, once=True
     )
-    table = core_load.stored_table(paths, table_class)
-
-    def merge_batch(batch: DataFrame, number: int) -> None:
-        upsert.upsert_insert_only(
-            batch.sparkSession,
-            core.stored_names(batch, table_class, core_load.FILE_ORDER),
-            table,
-            load_id=f"{checkpoint}#{number}",
-            once=True,
-            constants=core.load_dates(load_date, retention),
-            file_order=core_load.FILE_ORDER,
-        )
-
-    return _start(stream, merge_batch, checkpoint)
+    staging.drop(spark, pending_folder(checkpoint))
+    return written
 
 
 def stream_baselines(
@@ -72,11 +93,11 @@ def stream_baselines(
     load_date: str | dt.date,
     retention: dates.Retention = dates.Retention(),
     files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Merge baseline documents below ``landing/<date>/`` as snapshots arrive.
+) -> int:
+    """Merge all new baseline documents below ``landing/<date>/``; rows written.
 
-    Snapshots of the first batch open the table: their oldest date is valid from the
-    beginning of time.
+    The first run opens the table: the oldest snapshot that had arrived by then is valid
+    from the beginning of time.
     """
     stream = (
         spark.readStream.schema(schemas.BASELINE_DOCUMENT)
@@ -84,23 +105,23 @@ def stream_baselines(
         .json(landing)
         .select("*", baseline_load.snapshot_of_file().alias("snapshot_date"))
     )
-    table = baseline_load.stored_table(paths)
-
-    def merge_batch(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        initial = baseline_load.is_initial_load(session, paths)
-        upsert.upsert_insert_only(
-            session,
-            baseline.first_seen(
-                batch,
-                load_date,
-                retention,
-                opening=baseline.first_snapshot(batch) if initial else None,
-            ),
-            table,
-            load_id=f"{checkpoint}#{number}",
-            once=True,
-            unique=True,
-        )
-
-    return _start(stream, merge_batch, checkpoint)
+    found = collect(stream, checkpoint)
+    if found is None:
+        return 0
+    documents, last = found
+    initial = baseline_load.is_initial_load(spark, paths)
+    written = upsert.upsert_insert_only(
+        spark,
+        baseline.first_seen(
+            documents,
+            load_date,
+            retention,
+            opening=baseline.first_snapshot(documents) if initial else None,
+        ),
+        baseline_load.stored_table(paths),
+        load_id=f"{checkpoint}#{last}",
+        once=True,
+        unique=True,
+    )
+    staging.drop(spark, pending_folder(checkpoint))
+    return written

@@ -228,26 +228,43 @@ def test_baseline_load_over_snapshots(spark, folder):
     assert _validity(spark, paths.table)[-1] == ("V2", "h1", "2024-01-03")
 
 
-def test_matching_part_checks_the_size(spark, monkeypatch):
+def test_matching_part(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
-    batch = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
-    assert rows(upsert.matching_part(target, batch, "k")) == [("a", 1)]
-    assert upsert.matching_part(target, batch.limit(0), "k").count() == 0
-    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 1)
-    assert upsert.matching_part(target, batch, "k").count() == 3
+    values = spark.createDataFrame([("a",), ("c",)], "k string")
+    assert rows(upsert.matching_part(target, values, "k")) == [("a", 1)]
+    assert upsert.matching_part(target, values.limit(0), "k").count() == 0
 
 
 # --- streams ------------------------------------------------------------------------------------
 
 
-def test_core_stream_merges_files_as_they_come(spark, folder):
+def test_core_stream_loads_a_mixed_landing_as_the_batch_load_does(spark, folder):
+    land = f"{folder}/core"
+    write(land, "2024-01-03/b.csv", PROD, "m1;2022;s;p", "m1;2022;s;p", "m3;2022;s;p")
+    write(land, "2024-01-02/a.csv", PROD, "m1;2022;s;p", "m2;;s;p")
+    write(land, "2024-01-02/k.csv", KPB, "m1;s;p;k")
+    write(land, "2024-01-02/x.csv", "OTHER;COLUMNS;OF;A_FILE", "m9;s;p;k")
+    tables = {}
+    for limit in (1, 1000, None):
+        root = f"{folder}/{limit}"
+        paths = core_load.CorePaths(land, f"{root}/prod", f"{root}/kpb", f"{root}/log")
+        if limit is None:
+            written = core_load.load_core(spark, paths, "2024-02-29", KEEP)
+        else:
+            written = landing_stream.stream_core(
+                spark, f"{land}/*", paths, f"{root}/cp", "2024-02-29", KEEP, limit
+            )
+        assert written == {"modprod": 3, "modkpb": 1}
+        tables[limit] = [rows(spark.read.parquet(p)) for p in (paths.modprod, paths.modkpb)]
+    assert tables[1] == tables[1000] == tables[None]
+
+
+def test_core_stream_takes_new_files_only(spark, folder):
     land = f"{folder}/core"
     paths = core_load.CorePaths(land, f"{folder}/prod", f"{folder}/kpb", f"{folder}/log")
 
     def run():
-        landing_stream.stream_core(
-            spark, land, "modprod", paths, f"{folder}/cp", "2024-02-29", KEEP
-        ).awaitTermination()
+        landing_stream.stream_core(spark, land, paths, f"{folder}/cp", "2024-02-29", KEEP)
         return spark.read.parquet(paths.modprod).count()
 
     write(land, "a.csv", PROD, "m1;2022;s;p", "m2;;s;p")
@@ -255,8 +272,8 @@ def test_core_stream_merges_files_as_they_come(spark, folder):
     assert run() == 2
     write(land, "b.csv", PROD, "m1;2022;s;p", "m3;2022;s;p")
     assert run() == 3
-    log = load_log.read_load_log(spark, paths.load_log)
-    assert log.count() == 2
+    assert not os.path.exists(landing_stream.pending_folder(f"{folder}/cp"))
+    assert load_log.read_load_log(spark, paths.load_log).count() == 4
 
 
 def test_baseline_stream(spark, folder):
@@ -266,7 +283,7 @@ def test_baseline_stream(spark, folder):
     def run():
         landing_stream.stream_baselines(
             spark, f"{land}/*", paths, f"{folder}/cp", "2024-02-29", KEEP
-        ).awaitTermination()
+        )
 
     write(land, "2024-01-01/a", _baseline("V1", "p", "h1"))
     run()
@@ -279,6 +296,52 @@ def test_baseline_stream(spark, folder):
     ]
 
 
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_baseline_stream_does_not_depend_on_batches_or_arrival(spark, folder, limit):
+    """The older snapshot arrives last; the table is the one the batch load gives."""
+    land = f"{folder}/base"
+    write(land, "2024-01-02/a", _baseline("V1", "p", "h1"))
+    write(land, "2024-01-02/b", _baseline("V3", "p", "h1"))
+    for name in ("V0", "V1", "V2"):
+        write(land, f"2024-01-01/{name}", _baseline(name, "p", "h1"))
+    tables = []
+    for kind in ("stream", "batch"):
+        root = f"{folder}/{kind}"
+        paths = baseline_load.BaselinePaths(land, f"{root}/table", f"{root}/log")
+        if kind == "stream":
+            landing_stream.stream_baselines(
+                spark, f"{land}/*", paths, f"{root}/cp", "2024-02-29", KEEP, limit
+            )
+        else:
+            baseline_load.load_baselines(spark, paths, "2024-02-29", KEEP)
+        tables.append(_validity(spark, paths.table))
+    assert tables[0] == tables[1]
+    assert dict((v, d) for v, _, d in tables[0]) == {
+        "V0": "1600-01-01",
+        "V1": "1600-01-01",
+        "V2": "1600-01-01",
+        "V3": "2024-01-02",
+    }
+
+
+def test_roots_are_normalized_and_foreign_paths_refused(spark, folder):
+    write(f"{folder}/land/core", "2024-01-05/a.csv", PROD, "m;2022;s;p")
+    for root in ("land//core", "land/../land/core", "land/core/"):
+        paths = core_load.CorePaths(f"{folder}/{root}", *(f"{folder}/{abs(hash(root))}/{k}" for k in "pkl"))
+        assert core_load.load_core(spark, paths, "2024-02-29", KEEP)["modprod"] == 1
+    paths = core_load.CorePaths(f"{folder}/land/co*", *(f"{folder}/glob/{k}" for k in "pkl"))
+    with pytest.raises(Exception, match="is not below"):
+        core_load.load_core(spark, paths, "2024-02-29", KEEP)
+
+
+def test_dimensions_need_their_sources(spark, folder):
+    args = jobs.parser().parse_args(
+        ["dimensions", "--error-fact", folder, "--output", folder, "--only", "dim_fault_type"]
+    )
+    with pytest.raises(ValueError, match="complaint"):
+        jobs.run_dimensions(spark, args)
+
+
 def test_a_logged_batch_is_not_merged_again(spark, folder):
     schema = spark.createDataFrame([], "k string, day date").schema
     table = upsert.Table("t", f"{folder}/t", schema, ["k"], "day", f"{folder}/log")
