@@ -267,8 +267,9 @@ _DOCUMENTS = """documents_ AS (
   FROM conversations
 ),
 items AS (
-  SELECT snapshot_date, productId, role, turn + unnest([0, 1]) AS m
-  FROM documents_ WHERE conv_id % 3 <> 2 AND conv_id % 5 <> 0
+  SELECT DISTINCT snapshot_date, productId, role, role || ': ' || text AS naming, m
+  FROM (SELECT *, turn + unnest([0, 1]) AS m FROM documents_
+        WHERE conv_id % 3 <> 2 AND conv_id % 5 <> 0)
 ),
 addressed AS (
   SELECT *, unnest([role, 'A' || (m % 3)]) AS address FROM items
@@ -277,7 +278,7 @@ versioned AS (
   SELECT *, unnest(CASE WHEN m % 7 = 6 THEN [NULL] ELSE [m, m + 1] END) AS v FROM addressed
 ),
 flat AS (
-  SELECT 'P' || m AS partNumber, role AS naming, 'T' || (m % 2) AS materialType,
+  SELECT 'P' || m AS partNumber, naming, 'T' || (m % 2) AS materialType,
     address AS diagnosisAddresses, 'H' || v AS hardwareVersion, 'S' || (v % 2) AS softwareVersion,
     CASE WHEN v IS NOT NULL THEN 'N' || m END AS hardwarePartNumber,
     CASE WHEN v % 4 <> 3 THEN 'F' || (v % 2) END AS abbreviation, productId, snapshot_date
@@ -292,15 +293,15 @@ stored AS (
 _COMPLETE = "hardwareVersion IS NOT NULL AND abbreviation IS NOT NULL"
 
 ORACLE_SQL["baseline_json_scan"] = f"""WITH {_DOCUMENTS}
-SELECT productId, status, CAST(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE 2 END AS INTEGER)
+SELECT productId, status, CAST(CASE WHEN conv_id % 5 = 0 THEN 0 WHEN turn % 7 = 1 THEN 3 ELSE 2 END AS INTEGER)
   AS materials, snapshot_date
 FROM documents_"""
 ORACLE_SQL["published_baselines"] = f"""WITH {_DOCUMENTS}
-SELECT snapshot_date, productId, CAST(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE 2 END AS INTEGER)
+SELECT snapshot_date, productId, CAST(CASE WHEN conv_id % 5 = 0 THEN 0 WHEN turn % 7 = 1 THEN 3 ELSE 2 END AS INTEGER)
   AS materials
 FROM documents_ WHERE upper(status) = 'PUBLISHED'"""
 ORACLE_SQL["explode_materials"] = f"""WITH {_DOCUMENTS}
-SELECT snapshot_date, productId, 'P' || m AS partNumber, role AS naming,
+SELECT snapshot_date, productId, 'P' || m AS partNumber, naming,
   'T' || (m % 2) AS materialType, CAST(2 AS INTEGER) AS addresses
 FROM items"""
 ORACLE_SQL["flatten_baseline"] = f"WITH {_DOCUMENTS} SELECT * FROM stored"
@@ -309,7 +310,7 @@ SELECT DISTINCT * FROM stored WHERE {_COMPLETE}"""
 ORACLE_SQL["baseline_rejected_rows"] = f"""WITH {_DOCUMENTS}
 SELECT DISTINCT * FROM stored WHERE NOT ({_COMPLETE})"""
 ORACLE_SQL["optional_path"] = f"""WITH {_DOCUMENTS}
-SELECT snapshot_date, productId, role AS naming, CAST(NULL AS VARCHAR) AS colour FROM items"""
+SELECT snapshot_date, productId, naming, CAST(NULL AS VARCHAR) AS colour FROM items"""
 ORACLE_SQL["baseline_first_seen"] = f"""WITH {_DOCUMENTS}
 SELECT * EXCLUDE (snapshot_date),
   CASE WHEN min(snapshot_date) = (SELECT min(snapshot_date) FROM documents_)
@@ -353,8 +354,13 @@ plan AS (
         FROM inbox)
   WHERE path NOT LIKE '%dummy%' AND regexp_matches(target_file, '\\.csv')
 ),
-landed AS (SELECT 'core/2024-03-01/Q' || (page_id * 2) || '.csv' AS path FROM pages),
-marked AS (SELECT *, final_key IN (SELECT path FROM landed) AS is_duplicate FROM plan),
+landed AS (
+  SELECT 'core/2024-03-01/Q' || (page_id * 2) || '.csv' AS path FROM pages
+  UNION
+  SELECT 'core/' || replace(CAST(DATE '2024-01-01' + CAST(page_id % 20 AS INTEGER) AS VARCHAR), '-', '/')
+    || '/Q' || (page_id // 3) || '.csv' FROM pages WHERE page_id % 2 = 0
+),
+marked AS (SELECT *, target_path || target_file IN (SELECT path FROM landed) AS is_duplicate FROM plan),
 kept AS (
   SELECT 'core/core_duplicates/'
     || replace(CAST(DATE '2024-01-01' + CAST(page_id % 20 AS INTEGER) AS VARCHAR), '-', '/')

@@ -298,7 +298,7 @@ def _material(number: Column) -> Column:
     )
     return F.struct(
         F.concat(F.lit("P"), number.cast("string")).alias("partNumber"),
-        F.col("role").alias("naming"),
+        F.concat_ws(": ", "role", "text").alias("naming"),
         F.concat(F.lit("T"), (number % 2).cast("string")).alias("materialType"),
         F.array(
             F.col("role"), F.concat(F.lit("A"), (number % 3).cast("string"))
@@ -308,8 +308,8 @@ def _material(number: Column) -> Column:
 
 
 def baseline_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per conversation turn with snapshot date: two materials that
-    overlap with the next turn's, none for every fifth conversation."""
+    """One JSON document per conversation turn with snapshot date: two materials, the
+    first of them twice in every seventh turn, none for every fifth conversation."""
     conversation, turn = F.col("conv_id"), F.col("turn")
     status = (
         F.when(conversation % 3 == 0, "Published")
@@ -317,7 +317,8 @@ def baseline_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("draft")
     )
     both = F.array(_material(turn), _material(turn + 1))
-    materials = F.when(conversation % 5 == 0, F.slice(both, 1, 0)).otherwise(both)
+    more = F.concat(both, F.when(turn % 7 == 1, F.slice(both, 1, 1)).otherwise(F.slice(both, 1, 0)))
+    materials = F.when(conversation % 5 == 0, F.slice(both, 1, 0)).otherwise(more)
     content = F.struct(
         F.concat(F.lit("V"), conversation.cast("string")).alias("productId"),
         status.alias("status"),
@@ -354,11 +355,16 @@ def inbox_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects already landed today: the even names."""
-    name = F.concat(F.lit("Q"), (F.col("page_id") * 2).cast("string"))
-    return table(spark, sf_dir, "pages").select(
-        F.concat(F.lit(f"core/{LOAD_DATE}/"), name, F.lit(".csv")).alias("path")
-    )
+    """Objects landed before: the names of even pages, in their days' folders, and the
+    even names in today's folder."""
+    key = F.col("page_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 20).cast("int"))
+    folder = F.replace(day.cast("string"), F.lit("-"), F.lit("/"))
+    name = F.concat(F.lit("Q"), F.expr("page_id div 3").cast("string"), F.lit(".csv"))
+    dated = F.when(key % 2 == 0, F.concat(F.lit("core/"), folder, F.lit("/"), name))
+    today = F.concat(F.lit(f"core/{LOAD_DATE}/Q"), (key * 2).cast("string"), F.lit(".csv"))
+    listed = table(spark, sf_dir, "pages").select(F.explode(F.array(dated, today)).alias("path"))
+    return listed.where(F.col("path").isNotNull()).distinct()
 
 
 def duplicates_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,11 +20,11 @@ def is_published(status: Column) -> Column:
     return F.upper(status) == "PUBLISHED"
 
 
-# --- sales classes: "ZF (2015 - 2017), ZB (2018)" ---------------------------------
+# --- sales classes: "XA (2031 - 2034), XB (2036)" ---------------------------------
 
 
 def sales_class_entries(text: Column) -> Column:
-    """Array of entries without blanks, e.g. ``ZF(2015-2017)``."""
+    """Array of entries without blanks, e.g. ``XA(2031-2034)``."""
     return F.split(F.regexp_replace(text, " ", ""), ",")
 
 

@@ -24,12 +24,16 @@ def published(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def explode_materials(baselines: DataFrame) -> DataFrame:
-    """One row per material; documents without materials and null materials go."""
+def explode_materials(baselines: DataFrame, distinct: bool = True) -> DataFrame:
+    """Distinct materials; documents without materials and null materials go.
+
+    A material that a document, or a copy of it, holds twice counts once. Without
+    ``distinct`` it comes as often, for a caller that makes its own result distinct.
+    """
     rest = [c for c in baselines.columns if c != "materials"]
-    return baselines.select(
-        *rest, F.explode("materials").alias("materials_items")
-    ).where(F.col("materials_items").isNotNull())
+    items = baselines.select(*rest, F.explode("materials").alias("materials_items"))
+    items = items.where(F.col("materials_items").isNotNull())
+    return items.distinct() if distinct else items
 
 
 def _field(df: DataFrame, path: str, absent: str = "string") -> Column:
@@ -76,9 +80,12 @@ def flatten_materials(materials: DataFrame, keep: Sequence[str] = ()) -> DataFra
     )
 
 
-def flatten(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def flatten(
+    documents: DataFrame, keep: Sequence[str] = (), distinct: bool = True
+) -> DataFrame:
     """Published documents to the nine baseline attributes."""
-    return flatten_materials(explode_materials(published(documents, keep)), keep)
+    materials = explode_materials(published(documents, keep), distinct)
+    return flatten_materials(materials, keep)
 
 
 def with_validity(
@@ -128,7 +135,7 @@ def first_seen(
     ``opening`` is the snapshot that opens a new table; its rows are valid from the
     beginning of time.
     """
-    flat = complete_rows(flatten(documents, [snapshot]))
+    flat = complete_rows(flatten(documents, [snapshot], distinct=False))
     first = flat.groupBy(*schemas.BASELINE_KEYS).agg(F.min(snapshot).alias("_first"))
     since = F.date_format("_first", "yyyy-MM-dd")
     if opening is not None:

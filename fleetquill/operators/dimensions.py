@@ -170,7 +170,10 @@ def derived_columns() -> dict[str, Column]:
 def _pick(source: DataFrame, columns: Iterable[str]) -> DataFrame:
     derived = derived_columns()
     return source.select(
-        *[derived[c].alias(c) if c in derived else F.col(c) for c in columns]
+        *[
+            derived[c].alias(c) if c in derived and c not in source.columns else F.col(c)
+            for c in columns
+        ]
     )
 
 
@@ -185,6 +188,15 @@ def _unjoined(dimension: Dimension) -> list[str]:
     return [KEY, *own, *PLACE]
 
 
+# Texts that one other column determines, and which determine it again.
+TEXT_OF = {"zp8_date_start": "zp8_date", "zp8_date_end": "zp8_date"}
+
+
+def _carried(columns: Iterable[str]) -> list[str]:
+    """The columns that have to be shuffled to know all of the given ones."""
+    return list(dict.fromkeys(TEXT_OF.get(c, c) for c in columns))
+
+
 def build(dimension: Dimension, sources: Mapping[str, DataFrame]) -> DataFrame:
     """One dimension. ``sources`` maps source names to their DataFrames.
 
@@ -199,8 +211,11 @@ def build(dimension: Dimension, sources: Mapping[str, DataFrame]) -> DataFrame:
     bridge = sources.get("model_bridge")
     if bridge is None:
         bridge = model_bridge(sources[ERROR_FACT])
-    reduced = _pick(source, _unjoined(dimension)).distinct()
-    return reduced.join(bridge, KEY).select(*dimension.columns).distinct()
+    reduced = _pick(source, _carried(_unjoined(dimension))).distinct()
+    joined = reduced.join(bridge, KEY).select(*_carried(dimension.columns))
+    if KEY not in dimension.columns:  # with it, distinct sides gave distinct rows
+        joined = joined.distinct()
+    return _pick(joined, dimension.columns)
 
 
 def covering(

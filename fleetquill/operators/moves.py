@@ -76,9 +76,17 @@ def _taken(df: DataFrame, existing: DataFrame, key: str, flag: str) -> DataFrame
     )
 
 
-def mark_duplicates(plan: DataFrame, target: DataFrame) -> DataFrame:
-    """Add ``is_duplicate``: the landing zone already has the key to be written."""
-    return _taken(plan, target, "final_key", "is_duplicate")
+def target_key() -> Column:
+    """Target folder and file name: the key by which a file counts as landed before."""
+    return F.concat("target_path", "target_file")
+
+
+def mark_duplicates(
+    plan: DataFrame, target: DataFrame, key: Column | None = None
+) -> DataFrame:
+    """Add ``is_duplicate``: the landing zone already has the file, by ``key``."""
+    keyed = plan.withColumn("_key", target_key() if key is None else key)
+    return _taken(keyed, target, "_key", "is_duplicate").drop("_key")
 
 
 def free_versions(wanted: DataFrame, existing: DataFrame) -> DataFrame:

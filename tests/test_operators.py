@@ -24,24 +24,28 @@ D = dt.date
 # --- core ------------------------------------------------------------------------------
 
 
-def test_normalization_of_five_products_gives_twelve_rows(spark):
+def test_normalization_gives_a_row_per_series_and_year(spark):
     df = spark.createDataFrame(
         [
-            ("P1", "A", "T", "ZV (2022 - 2025)"),
-            ("P2", "B", "T", "ZR (2021 - 2022)"),
-            ("P3", "C", "T", "ZF (2015 - 2017), ZF (2020 - 2022)"),
-            ("P4", "D", "T", "ZB (2015), ZB (2018)"),
-            ("P5", "E", "T", "VB (2017 - 2018), VB (2020 - 2021)"),
-            ("P6", "F", "T", "none"),
-            ("P7", "G", "T", None),
+            ("N1", "first", "K", "QA (2031 - 2034)"),  # three years, the end is not one
+            ("N2", "second", "K", "QB (2040), QC (2041 - 2042), QB (2044)"),  # one each
+            ("N3", "third", "L", "QD (2036 - 2036)"),  # an empty range
+            ("N4", "fourth", "L", "QE (2038 - 2035)"),  # a range that runs backwards
+            ("N5", "fifth", "L", ""),
+            ("N6", "sixth", "L", None),
         ],
         "Produkt string, Beschreibung string, Produkttyp string, Vertriebliche_Klasse string",
     )
     dated = core.with_load_dates(df, "2024-03-01", dates.Retention(15))
     out = core.normalize_sales_classes(dated)
-    assert out.count() == 12
-    years = rows(out.where("Produkt = 'P3'").select("series", "modelljahr"))
-    assert years == [("ZF", 2015), ("ZF", 2016), ("ZF", 2020), ("ZF", 2021)]
+    assert rows(out.select("Produkt", "series", "modelljahr")) == [
+        ("N1", "QA", 2031),
+        ("N1", "QA", 2032),
+        ("N1", "QA", 2033),
+        ("N2", "QB", 2040),
+        ("N2", "QB", 2044),
+        ("N2", "QC", 2041),
+    ]
 
 
 def test_classify_schema(spark):
@@ -341,7 +345,7 @@ def test_duplicate_versions_equal_brute_force(spark):
 def test_strategies(spark):
     inbox = ["core/2024-01-05/a.csv", "core/2024-01-05/b.csv"]
     plan = moves.move_plan(_listing(spark, inbox), moves.MoveSettings(), "2024-03-01")
-    landed = _listing(spark, ["core/2024-03-01/a.csv"])
+    landed = _listing(spark, ["core/2024/01/05/a.csv", "core/2024-03-01/b.csv"])
     kept = _listing(spark, ["core/core_duplicates/2024/01/05/a.csv"])
 
     def decide(strategy):
