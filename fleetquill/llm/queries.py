@@ -134,7 +134,50 @@ QUERIES = {
 
 ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')"
 
+WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
 ORACLE_SQL: dict[str, str] = {
+    # base 32 from hexadecimal: five digits make four letters
+    "op1_warc": """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+    FROM pages
+)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+           FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM hashed
+""",
+    "op6_decontamination": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, n, w[k : k + n - 1] AS words
+    FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k
+          FROM items WHERE len(w) > 0)
+),
+places AS (
+    SELECT r, n, k, w[k : k + n - 1] AS words
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k
+          FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+),
+found AS (SELECT r, item, k, n FROM places JOIN windows USING (n, words)),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit
+        FROM (SELECT r, unnest(range(k, k + n)) AS place FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""",
     "op9_chat": f"""
 WITH rows AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -83,10 +83,11 @@ def test_query_1(spark):
     assert warc.round_trip(empty).count() == 0
 
 
-def test_chat_equals_sql(spark):
+@pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
     import compare
 
-    assert compare.difference(queries.op9_chat(spark, SF), compare.duck(SF), queries.ORACLE_SQL["op9_chat"]) is None
+    assert compare.difference(queries.QUERIES[name](spark, SF), compare.duck(SF), queries.ORACLE_SQL[name]) is None
 
 
 def test_events_fold_into_final_messages(spark):
