@@ -470,3 +470,4 @@ FROM (
   )
 )
 WHERE vacuum_flag AND (vacuum_last_run IS NULL OR vacuum_next_run <= DATE '2024-02-01')"""
+ORACLE_SQL["optimize_due"] = ORACLE_SQL["maintenance_due"].replace("vacuum_", "optimize_")

@@ -516,3 +516,11 @@ def maintenance_due(spark, sf_dir):
     return maintenance.due(control, "vacuum", "2024-02-01").select(
         "table_name", "days", "vacuum_last_run", "vacuum_next_run"
     )
+
+
+@query
+def optimize_due(spark, sf_dir):
+    control = standins.maintenance_control(spark, sf_dir, "optimize")
+    return maintenance.due(control, "optimize", "2024-02-01").select(
+        "table_name", "days", "optimize_last_run", "optimize_next_run"
+    )

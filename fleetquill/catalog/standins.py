@@ -435,15 +435,16 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def maintenance_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+def maintenance_control(spark: SparkSession, sf_dir: str, task: str = "vacuum") -> DataFrame:
+    """Control table of one task; only vacuum keeps files for a retention time."""
     key = F.col("s_suppkey")
     last = F.date_add(F.lit("2024-01-01").cast("date"), (key % 40).cast("int"))
     return table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("table_name"),
         F.concat(F.lit("tables/"), "s_name").alias("s3_table_path"),
         (key % 30).cast("int").alias("days"),
-        (key % 5 != 0).alias("vacuum_flag"),
-        F.lit(7).alias("retention_days"),
-        F.when(key % 7 != 0, last).alias("vacuum_last_run"),
-        F.lit(None).cast("date").alias("vacuum_next_run"),
+        (key % 5 != 0).alias(f"{task}_flag"),
+        *([F.lit(7).alias("retention_days")] if task == "vacuum" else []),
+        F.when(key % 7 != 0, last).alias(f"{task}_last_run"),
+        F.lit(None).cast("date").alias(f"{task}_next_run"),
     )

@@ -9,11 +9,14 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from fleetquill import schemas
 from fleetquill.functions import dates
-from fleetquill.operators import dimensions, maintenance, moves
-from fleetquill.plans import baseline_load, core_load, dimension_batch
+from fleetquill.operators import core, dimensions, maintenance, moves, responses
+from fleetquill.plans import baseline_load, core_load, dimension_batch, response_landing
 from fleetquill.sources import listing, readers
+from fleetquill.streaming import landing_stream
 
 
 def _retention(args) -> dates.Retention:
@@ -40,6 +43,42 @@ def run_baseline_load(spark: SparkSession, args) -> object:
     )
 
 
+def run_core_stream(spark: SparkSession, args) -> object:
+    root = args.storage.rstrip("/")
+    paths = core_load.CorePaths(
+        args.landing, f"{root}/modprod", f"{root}/modkpb", f"{root}/load_log"
+    )
+    return landing_stream.stream_core(
+        spark, args.landing, paths, args.checkpoint, args.load_date, _retention(args)
+    )
+
+
+def run_baseline_stream(spark: SparkSession, args) -> object:
+    root = args.storage.rstrip("/")
+    paths = baseline_load.BaselinePaths(
+        args.landing, f"{root}/baseline", f"{root}/load_log"
+    )
+    return landing_stream.stream_baselines(
+        spark, args.landing, paths, args.checkpoint, args.load_date, _retention(args)
+    )
+
+
+def run_requests(spark: SparkSession, args) -> object:
+    """Overview URLs of the interface file's products, one per row."""
+    interface = readers.read_csv_positional(spark, args.interface, schemas.INTERFACE_COLUMNS)
+    product = F.col("product_id")
+    urls = core.product_ids(interface).select(
+        product, responses.overview_url(args.template, product, args.api_version).alias("url")
+    )
+    urls.write.mode("overwrite").parquet(args.output)
+    return args.output
+
+
+def run_land_responses(spark: SparkSession, args) -> object:
+    raw = readers.read_table_path(spark, args.responses, schemas.RAW_RESPONSE)
+    return response_landing.land_responses(raw, args.landing, args.day, not args.lenient)
+
+
 def run_dimensions(spark: SparkSession, args) -> object:
     sources = {
         dimensions.ERROR_FACT: args.error_fact,
@@ -96,9 +135,17 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
 
-    for name, run in (("core-load", run_core_load), ("baseline-load", run_baseline_load)):
+    loads = {
+        "core-load": run_core_load,
+        "baseline-load": run_baseline_load,
+        "core-stream": run_core_stream,
+        "baseline-stream": run_baseline_stream,
+    }
+    for name, run in loads.items():
         load = jobs.add_parser(name)
         load.set_defaults(run=run)
+        if name.endswith("stream"):
+            load.add_argument("--checkpoint", required=True)
         load.add_argument("--landing", required=True)
         load.add_argument("--storage", required=True)
         load.add_argument("--load-date", required=True, type=dt.date.fromisoformat)
@@ -129,6 +176,20 @@ def parser() -> argparse.ArgumentParser:
         "--strategy", default="overwrite", choices=["skip", "overwrite", "version"]
     )
 
+    urls = jobs.add_parser("requests")
+    urls.set_defaults(run=run_requests)
+    urls.add_argument("--interface", required=True)
+    urls.add_argument("--template", required=True)
+    urls.add_argument("--api-version", required=True)
+    urls.add_argument("--output", required=True)
+
+    land = jobs.add_parser("land-responses")
+    land.set_defaults(run=run_land_responses)
+    land.add_argument("--responses", required=True)
+    land.add_argument("--landing", required=True)
+    land.add_argument("--day", required=True, type=dt.date.fromisoformat)
+    land.add_argument("--lenient", action="store_true")
+
     due = jobs.add_parser("due")
     due.set_defaults(run=run_due)
     due.add_argument("--control", required=True)

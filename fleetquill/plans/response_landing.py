@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetquill.operators import responses
+from fleetquill.plans import staging
 
 
 class FailedResponses(RuntimeError):
@@ -27,17 +28,23 @@ def documents(triaged: DataFrame) -> DataFrame:
 def land_responses(
     raw: DataFrame, landing: str, day: str | dt.date, strict: bool = True
 ) -> dict[str, int]:
-    """Write the good bodies of a response table below ``landing/<day>``.
+    """Write the good bodies of a response table as the day's folder ``landing/<day>``.
 
     Returns the number of responses per outcome. ``strict`` refuses the batch when a
-    response failed for another reason than the skipped statuses.
+    response failed for another reason than the skipped statuses. The triage parses
+    every body, so its result is staged for counting and writing; a rerun replaces what
+    the day had landed.
     """
-    triaged = responses.triage(raw)
+    spark = raw.sparkSession
+    folder = staging.staging_folder(spark, f"{landing.rstrip('/')}_staging")
+    triaged = staging.stage(responses.triage(raw).select("outcome", "body"), folder)
     found = {r["outcome"]: r["count"] for r in triaged.groupBy("outcome").count().collect()}
     bad = found.get("error", 0) + found.get("invalid_json", 0)
     if strict and bad:
+        staging.drop(spark, folder)
         raise FailedResponses(f"{bad} of {sum(found.values())} responses failed")
-    documents(triaged).hint("rebalance").write.mode("append").text(
+    documents(triaged).hint("rebalance").write.mode("overwrite").text(
         f"{landing.rstrip('/')}/{day}"
     )
+    staging.drop(spark, folder)
     return found

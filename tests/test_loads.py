@@ -398,7 +398,8 @@ def test_land_responses(spark, folder):
     )
     with pytest.raises(response_landing.FailedResponses):
         response_landing.land_responses(raw, folder, "2024-03-01")
-    found = response_landing.land_responses(raw, folder, "2024-03-01", strict=False)
+    for _ in range(2):  # a rerun replaces the day
+        found = response_landing.land_responses(raw, folder, "2024-03-01", strict=False)
     assert found == {"ok": 1, "skipped": 1, "error": 1, "invalid_json": 1}
     landed = readers.read_baselines(spark, f"{folder}/2024-03-01")
     assert rows(landed.select("content.productId")) == [("V1",)]
@@ -412,8 +413,25 @@ def test_jobs(spark, folder, core_paths):
     done = jobs.main(["core-load", *common, "--storage", f"{folder}/store"])
     assert done == {"modprod": 5, "modkpb": 1}
 
+    stream = ["core-stream", "--landing", f"{core_paths.landing}/2024-*", "--load-date", "2024-02-29"]
+    stream += ["--storage", f"{folder}/streamed", "--checkpoint", f"{folder}/cp"]
+    assert jobs.main(stream) == done
+    assert jobs.main(stream) == {"modprod": 0, "modkpb": 0}
+
+    width = len(schemas.INTERFACE_COLUMNS)
+    at = schemas.INTERFACE_COLUMNS.index("produktkennzeichen")
+    lines = [";".join(p if k == at else "x" for k in range(width)) for p in ("V1", "V1", "", "V2")]
+    write(folder, "interface.csv", *lines)
+    ask = ["requests", "--interface", f"{folder}/interface.csv", "--api-version", "2"]
+    ask += ["--template", "https://example.invalid/{api_version}/{vpId}", "--output", f"{folder}/urls"]
+    jobs.main(ask)
+    assert rows(spark.read.parquet(f"{folder}/urls")) == [
+        ("V1", "https://example.invalid/2/V1"),
+        ("V2", "https://example.invalid/2/V2"),
+    ]
+
     write(folder, "inbox/core/2024-01-05/a.csv", PROD)
-    write(folder, "land/core/2024-02-29/a.csv", PROD)
+    write(folder, "land/core/2024/01/05/a.csv", PROD)
     where = ["--inbox", f"{folder}/inbox", "--landing", f"{folder}/land"]
     plan = ["move-plan", *where, "--load-date", "2024-02-29", "--output", f"{folder}/plan"]
     assert jobs.main(plan) == {"total": 1, "duplicates": 1}
