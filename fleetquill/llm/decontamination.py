@@ -73,18 +73,16 @@ def sized(df: DataFrame) -> DataFrame:
 
 
 def document_shingles(docs: DataFrame, text_col: str, sizes: list[int]) -> DataFrame:
-    """(__id, __text, place, hash) for every place of every document and every size."""
-
-    def hashes(tokens: Column) -> Column:
-        every = F.sequence(F.lit(0), F.size(tokens) - 1)
-        one = F.transform(every, lambda at: F.array(*[shingle_hash(tokens, at, size) for size in sizes]))
-        return F.when(F.size(tokens) > 0, F.flatten(one))
-
-    return (
-        docs.select("__id", "__text", once(words(F.col(text_col)), hashes).alias("__hashes"))
-        .select("__id", "__text", F.posexplode("__hashes").alias("__n", "hash"))
-        .select("__id", "__text", F.expr(f"__n div {len(sizes)}").cast("int").alias("place"), "hash")
-    )
+    """(__id, __text, place, hash) for every place of every document and every size.
+
+    The outer explode keeps the optimizer from testing for empty lists first, for which
+    it would take every text apart twice. Places at a text's end have no hash.
+    """
+    tokens = docs.select("__id", "__text", words(F.col(text_col)).alias("__tokens"))
+    placed = tokens.select("*", F.posexplode_outer("__tokens").alias("place", "__word"))
+    hashes = [shingle_hash(F.col("__tokens"), F.col("place"), size) for size in sizes]
+    hashed = hashes[0] if len(hashes) == 1 else F.explode(F.array(*hashes))
+    return placed.select("__id", "__text", "place", hashed.alias("hash"))
 
 
 def rarest(windows: DataFrame, met: DataFrame, sizes: list[int]) -> DataFrame:
