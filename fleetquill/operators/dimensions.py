@@ -18,7 +18,7 @@ COMPLAINTS = "complaint_daily"
 VEHICLES = "vehicle_extended"
 
 KEY = "model_key_3"
-# Columns every dimension carries; model_desc comes from the bridge in joined ones.
+# Columns every dimension carries; model_desc comes from the bridge in joined ones.
 PLACE = ["brand", "factory_name", "delivery_region_de", "delivery_country_de"]
 BASE = ["model_desc", *PLACE]
 

@@ -66,7 +66,7 @@ OVERVIEW_DOCUMENT = T.StructType(
     [T.StructField("content", T.ArrayType(T.StructType(_strings("uuid"))), True)]
 )
 
-# The nine attributes that identify a flattened baseline row.
+# The nine attributes that identify a flattened baseline row.
 BASELINE_KEYS = [
     "partNumber",
     "naming",
