@@ -18,7 +18,7 @@ most ``max_bytes`` bytes. Half of it trains, half sets threshold and scale.
 Defined results: a null or empty text has no unit and is not toxic; labels that are null or
 neither 0 nor 1 teach nothing, a doc_id with both labels is toxic; without texts of both classes every
 score is 0; repeated rows are scored each; an empty table gives an empty table; other
-columns are ignored.
+columns are kept, but for one named like the result, which is replaced.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ MAX_BYTES = 32_768
 MAX_SEEDS = 80
 ROUNDS = 3
 NEGATIVE_UNITS = 10_000
-GAPS = (0.25, 0.6, 1.0)
+GAPS = (0.3, 1.0)
+UNITS_OF_TEXT = 6
 RIDGE = 1e-4
 EMPTY = -10.0
 
@@ -158,7 +159,11 @@ def seeds(texts: list[np.ndarray], toxic: np.ndarray) -> list[int]:
         return np.unique(np.concatenate([g[ok] for g, ok in map(lambda k: gram_codes(symbols, k), GRAMS)]))
 
     of_kind = {kind: [t for t, y in zip(texts, toxic, strict=True) if y == kind] for kind in (True, False)}
-    in_toxic, n = np.unique(np.concatenate([own(t) for t in of_kind[True]]), return_counts=True)
+    in_toxic, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for low in range(0, len(of_kind[True]), 50):
+        grams, times = np.unique(np.concatenate([own(t) for t in of_kind[True][low : low + 50]]), return_counts=True)
+        in_toxic, place = np.unique(np.concatenate([in_toxic, grams]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([n, times])).astype(np.int64)
     clean_n = np.zeros(len(in_toxic), np.int64)
     for t in of_kind[False] if len(in_toxic) else []:
         grams = own(t)
@@ -264,31 +269,36 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
         return None
     random = np.random.default_rng(7)
     pad = np.zeros(STARTS + SPAN, np.int32)
-    symbols = [SYMBOL[np.frombuffer(t, np.uint8)] for t in texts]
+    narrow = SYMBOL.astype(np.uint8)
+    symbols = [narrow[np.frombuffer(t, np.uint8)] for t in texts]
     half = np.zeros(len(texts), bool)
     for kind in (True, False):  # every other text of each class; a single one does both
         own = np.flatnonzero(toxic == kind)
         half[own[::2]] = True
     fit_rows = np.flatnonzero(half)
-    padded = {i: np.concatenate([symbols[i], pad]) for i in fit_rows}
+
+    def padded(i: int) -> np.ndarray:
+        return np.concatenate([symbols[i].astype(np.int32), pad])
+
     grams = np.array(seeds([symbols[i] for i in fit_rows], toxic[fit_rows]), np.int64)
     width = STARTS + SPAN
 
     positives, plain = [], []
     for i in fit_rows[toxic[fit_rows]]:
-        s = padded[i]
+        s = padded(i)
         hits = [np.flatnonzero(np.isin(gram_codes(s, k)[0], grams)) for k in GRAMS]
-        for at in np.unique(np.concatenate(hits))[:20]:
+        for at in np.unique(np.concatenate(hits))[:UNITS_OF_TEXT]:
             if at + width <= len(s):
-                plain.append(s[at : at + width])
+                plain.append(s[at : at + width].copy())
                 positives += [plain[-1], *(gapped(plain[-1], p, random) for p in GAPS)]
     clean_rows = fit_rows[~toxic[fit_rows]]
     share = max(1, NEGATIVE_UNITS // max(len(clean_rows), 1))
     negatives = []
     for i in clean_rows:
-        room = len(padded[i]) - width
+        s = padded(i)
+        room = len(s) - width
         for at in random.integers(0, room, share) if room > 0 else []:
-            negatives.append(padded[i][at : at + width])
+            negatives.append(s[at : at + width].copy())
     if not positives or not negatives:
         return None
     for _ in range(ROUNDS):
@@ -298,11 +308,12 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
         picks += [negatives[k] for k in random.permutation(len(negatives))[:40]] + negatives[-40:]
         weight, bias = kernel_machine(units, y, np.unique(np.stack(picks), axis=0))
         for i in clean_rows:  # what it took for toxic teaches it next time
-            scores = unit_scores(symbols[i], np.array([0, len(symbols[i])]), weight)
+            s = padded(i)
+            scores = unit_scores(s[: len(symbols[i])], np.array([0, len(symbols[i])]), weight)
             if len(scores):
                 for at in np.argsort(-scores)[:2]:
-                    if scores[at] + bias > -1 and at + width <= len(padded[i]):
-                        negatives.append(padded[i][at : at + width])
+                    if scores[at] + bias > -1 and at + width <= len(s):
+                        negatives.append(s[at : at + width].copy())
 
     rest = ~half if toxic[~half].any() and not toxic[~half].all() else half
     data = np.frombuffer(b"".join(t for t, r in zip(texts, rest, strict=True) if r), np.uint8)
@@ -355,6 +366,7 @@ def fit(
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns and ``toxicity``, from 0 to 1; 0.5 and more is toxic."""
+    docs = docs.drop("toxicity")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
