@@ -14,17 +14,23 @@ from pyspark.sql import functions as F
 from fleetquill.llm import shared
 
 
+def written(least: DataFrame) -> DataFrame:
+    """Of a written table the join shuffles both sides anew, so a node with very many
+    neighbours is a partition that can be split."""
+    return shared.stage(least, "star-least")
+
+
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Of edges whose a is smaller than their b."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = written(edges.groupBy("b").agg(F.min("a").alias("m")))
     moved = edges.join(least, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a <> b")
     return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 

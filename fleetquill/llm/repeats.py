@@ -267,11 +267,10 @@ def counted_repeats(segments: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(__id, __h, spans): byte stretches to remove per text; from (__id, __h, text as binary)."""
     found = shared.stage(all_runs(docs), "repeat-runs")
-    keys = (
-        found.groupBy("key")
-        .agg(F.count("*").alias("c"), F.min("seg").alias("s"), F.max("seg").alias("t"))
-        .where("c > 1")
-        .select("key", (F.col("s") != F.col("t")).alias("differ"))
+    counts = found.groupBy("key").agg(F.count("*").alias("c"), F.min("seg").alias("s"), F.max("seg").alias("t"))
+    # written, so that in the join a hot anchor's runs are a shuffle that can be split
+    keys = shared.stage(
+        counts.where("c > 1").select("key", (F.col("s") != F.col("t")).alias("differ")), "repeat-keys"
     )
     twice = shared.stage(found.join(keys, "key"), "repeat-candidates")
     differ = (

@@ -190,7 +190,10 @@ def with_revisits(records: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Records and ``original``: the record with an equal payload that they revisit, or null."""
     large = F.octet_length("payload") >= min_bytes
     one = F.max(F.struct("page_id", "record_id", "uri", "date"))
-    originals = records.where(large).groupBy("digest").agg(one.alias("original"))
+    # written, so that in the join a payload of very many pages is a shuffle that can be split
+    originals = shared.stage(
+        records.where(large).groupBy("digest").agg(one.alias("original")), "warc-originals"
+    )
     joined = records.join(originals, "digest", "left")
     revisits = large & F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original.page_id"))
     return joined.withColumn("original", F.when(revisits, F.col("original")))
