@@ -170,7 +170,7 @@ def test_toxicity_of_odd_rows(spark):
     odd = spark.createDataFrame(
         [(1, None, "x"), (2, "", "y"), (3, "zumwack " * 20_000, None), (3, "zumwack " * 20_000, None), (None, "ok", "")],
         "doc_id long, text string, toxicity string",
-    ).withColumnRenamed("toxicity", "__r")
+    )
     model = toxicity.fit(docs, labels)
     got = toxicity.score(odd, model).collect()
     assert len(got) == 5 and all(0 <= r.toxicity <= 1 for r in got)
