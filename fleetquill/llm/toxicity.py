@@ -13,7 +13,11 @@ as a number and against its length, by a logistic fit.
 Only texts carry labels, so a toxic text stands for its most telling unit, a clean one for
 all of its units: the machine is trained again with the clean units it took for toxic. The
 sample of labelled texts is bounded: at most ``per_class`` texts of each class, each of at
-most ``max_bytes`` bytes. Half of it trains, half sets threshold and scale.
+most ``max_bytes`` bytes. Half of it trains, half sets threshold and scale. A toxic text
+gives at most ``UNITS_OF_TEXT`` units, the first by place, each also with gaps at the rates in
+``GAPS``; the clean ones give about ``NEGATIVE_UNITS``, one a text at least, and two a text in
+each of ``ROUNDS`` rounds. Landmarks are 120 toxic and 80 clean units, and for every gram that
+tells toxic texts one unit that holds it; the grams' number follows the texts.
 
 Defined results: a null or empty text has no unit and is not toxic; labels that are null or
 neither 0 nor 1 teach nothing, a doc_id with both labels is toxic; without texts of both classes every
@@ -40,13 +44,13 @@ DECAY = 0.6
 GRAMS = (4, 6)
 BLOCK = 1 << 20
 PATTERNS = [(a, a + b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
-PER_CLASS = 1500
+PER_CLASS = 2000
 MAX_BYTES = 32_768
-MAX_SEEDS = 80
 ROUNDS = 3
 NEGATIVE_UNITS = 10_000
-GAPS = (0.3, 1.0)
-UNITS_OF_TEXT = 6
+GAPS = (0.25, 0.6, 1.0)
+UNITS_OF_TEXT = 20
+ROWS = 4096
 RIDGE = 1e-4
 EMPTY = -10.0
 
@@ -159,11 +163,15 @@ def seeds(texts: list[np.ndarray], toxic: np.ndarray) -> list[int]:
         return np.unique(np.concatenate([g[ok] for g, ok in map(lambda k: gram_codes(symbols, k), GRAMS)]))
 
     of_kind = {kind: [t for t, y in zip(texts, toxic, strict=True) if y == kind] for kind in (True, False)}
-    in_toxic, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    in_toxic, n = np.zeros(0, np.int64), np.zeros(0, np.int32)
     for low in range(0, len(of_kind[True]), 50):
         grams, times = np.unique(np.concatenate([own(t) for t in of_kind[True][low : low + 50]]), return_counts=True)
-        in_toxic, place = np.unique(np.concatenate([in_toxic, grams]), return_inverse=True)
-        n = np.bincount(place, np.concatenate([n, times])).astype(np.int64)
+        place = np.searchsorted(in_toxic, grams)
+        known = place < len(in_toxic)
+        known[known] = in_toxic[place[known]] == grams[known]
+        n[place[known]] += times[known].astype(np.int32)
+        n = np.insert(n, place[~known], times[~known])
+        in_toxic = np.insert(in_toxic, place[~known], grams[~known])
     clean_n = np.zeros(len(in_toxic), np.int64)
     for t in of_kind[False] if len(in_toxic) else []:
         grams = own(t)
@@ -171,26 +179,32 @@ def seeds(texts: list[np.ndarray], toxic: np.ndarray) -> list[int]:
         clean_n[found[in_toxic[found] == grams]] += 1
     rate = np.log((n + 0.5) / (toxic.sum() + 1)) - np.log((clean_n + 0.5) / ((~toxic).sum() + 1))
     good = np.flatnonzero((rate > 1.5) & (n >= 2))
-    good = good[np.argsort(-(rate * np.sqrt(n))[good], kind="stable")][:4000]
+    good = good[np.argsort(-(rate * np.sqrt(n))[good], kind="stable")]
     grams, cost = in_toxic[good], clean_n[good]
     order = np.argsort(grams)
-    member = np.zeros((int(toxic.sum()), len(grams)), bool)
-    for row, own_grams in enumerate(map(own, of_kind[True])):
-        place = np.searchsorted(grams[order], own_grams)
-        hit = (place < len(grams)) & (grams[order][np.minimum(place, len(grams) - 1)] == own_grams)
-        member[row, order[place[hit]]] = True
+    ordered = grams[order]
+    held = []  # of each toxic text, which of the grams
+    for own_grams in map(own, of_kind[True]):
+        place = np.searchsorted(ordered, own_grams)
+        hit = (place < len(grams)) & (ordered[np.minimum(place, len(grams) - 1)] == own_grams) if len(grams) else []
+        held.append(np.sort(order[place[hit]]).astype(np.int32) if len(grams) else np.zeros(0, np.int32))
     # a toxic text counts until four grams tell it: a stem is covered by several
-    missing = np.full(len(member), 4)
+    missing = np.full(len(held), 4)
     price = 2.0 * toxic.sum() / (~toxic).sum()  # a clean text costs what two toxic ones of equal share gain
+    gain = n[good] - price * cost
     chosen: list[int] = []
-    while len(chosen) < min(MAX_SEEDS, len(grams)):
-        gain = (member & (missing > 0)[:, None]).sum(axis=0) - price * cost
-        gain[chosen] = -np.inf
+    while len(chosen) < len(grams):
         best = int(gain.argmax())
         if gain[best] < 2:
             break
         chosen.append(best)
-        missing -= member[:, best]
+        gain[best] = -np.inf
+        for row in np.flatnonzero(missing > 0):
+            at = np.searchsorted(held[row], best)
+            if at < len(held[row]) and held[row][at] == best:
+                missing[row] -= 1
+                if not missing[row]:
+                    gain[held[row]] -= 1
     return [int(grams[k]) for k in chosen]
 
 
@@ -201,22 +215,27 @@ def gapped(unit: np.ndarray, often: float, random: np.random.Generator) -> np.nd
         out.append(symbol)
         if symbol and random.random() < often:
             out.append(0)
-    return np.array((out + [0] * (STARTS + SPAN))[: STARTS + SPAN], np.int32)
+    return np.array((out + [0] * (STARTS + SPAN))[: STARTS + SPAN], np.uint8)
 
 
 def machine(features: np.ndarray, y: np.ndarray, loss_weight: np.ndarray, ridge: float | None = None) -> np.ndarray:
     """Linear machine with squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.hstack([features, np.ones((len(features), 1))]).astype(np.float64)
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], RIDGE if ridge is None else ridge)
+    width = features.shape[1] + 1
+    w = np.zeros(width)
+    penalty = np.full(width, RIDGE if ridge is None else ridge)
     penalty[-1] = 1e-8
     loss_weight = loss_weight / loss_weight.sum()
     for _ in range(30):
-        margin = 1 - y * (x @ w)
-        active = margin > 0
-        xa, ca = x[active], loss_weight[active]
-        gradient = penalty * w - xa.T @ (ca * y[active] * margin[active])
-        step = np.linalg.solve((xa * ca[:, None]).T @ xa + np.diag(penalty), gradient)
+        gradient, hessian = penalty * w, np.diag(penalty)
+        for low in range(0, len(features), ROWS):
+            part = slice(low, low + ROWS)
+            x = np.hstack([features[part], np.ones((len(features[part]), 1))]).astype(np.float64)
+            margin = 1 - y[part] * (x @ w)
+            active = margin > 0
+            xa, ca = x[active], loss_weight[part][active]
+            gradient -= xa.T @ (ca * y[part][active] * margin[active])
+            hessian += (xa * ca[:, None]).T @ xa
+        step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -241,23 +260,27 @@ def logistic(features: np.ndarray, truth: np.ndarray, prior: np.ndarray, ridge:
 def kernel_machine(units: np.ndarray, y: np.ndarray, landmarks: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights of all subsequences and the bias, from units [n, STARTS + SPAN]."""
     row = units.shape[1]
-    codes, weights = unit_codes(units.ravel(), np.arange(len(units)) * row)
-    marks, _ = unit_codes(landmarks.ravel(), np.arange(len(landmarks)) * row)
+    marks, weights = unit_codes(landmarks.ravel().astype(np.int32), np.arange(len(landmarks)) * row)
     used = np.unique(marks)
-    column = np.full(SYMBOLS**3, len(used), np.int64)
+    column = np.full(SYMBOLS**3, len(used), np.int32)
     column[used] = np.arange(len(used))
     phi = np.zeros((len(used) + 1, len(landmarks)), np.float32)
     for k in range(marks.shape[1]):
         np.add.at(phi, (column[marks[:, k]], np.arange(len(landmarks))), weights[k])
-    near = np.zeros((len(units), len(landmarks)), np.float32)
-    for k in range(codes.shape[1]):
-        near += weights[k] * phi[column[codes[:, k]]]
     values, vectors = np.linalg.eigh((phi.T @ phi).astype(np.float64))
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
+    features = np.empty((len(units), half.shape[1]), np.float32)
+    for low in range(0, len(units), ROWS):
+        part = units[low : low + ROWS].astype(np.int32)
+        codes, _ = unit_codes(part.ravel(), np.arange(len(part)) * row)
+        near = np.zeros((len(part), len(landmarks)), np.float32)
+        for k in range(codes.shape[1]):
+            near += weights[k] * phi[column[codes[:, k]]]
+        features[low : low + ROWS] = near @ half
     positive = y > 0
     loss_weight = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1))
-    w = machine(near @ half, y, loss_weight)
+    w = machine(features, y, loss_weight)
     weight = np.zeros(SYMBOLS**3)
     weight[used] = phi[:-1] @ (half @ w[:-1])
     return weight.astype(np.float32), float(w[-1])
@@ -284,12 +307,18 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
     width = STARTS + SPAN
 
     positives, plain = [], []
+    told: dict[int, np.ndarray] = {}  # by gram, a unit that holds it
     for i in fit_rows[toxic[fit_rows]]:
         s = padded(i)
-        hits = [np.flatnonzero(np.isin(gram_codes(s, k)[0], grams)) for k in GRAMS]
+        codes = [gram_codes(s, k)[0] for k in GRAMS]
+        hits = [np.flatnonzero(np.isin(c, grams)) for c in codes]
+        for code, own in zip(codes, hits, strict=True):
+            for at in own[own + width <= len(s)]:
+                if int(code[at]) not in told:
+                    told[int(code[at])] = s[at : at + width].astype(np.uint8)
         for at in np.unique(np.concatenate(hits))[:UNITS_OF_TEXT]:
             if at + width <= len(s):
-                plain.append(s[at : at + width].copy())
+                plain.append(s[at : at + width].astype(np.uint8))
                 positives += [plain[-1], *(gapped(plain[-1], p, random) for p in GAPS)]
     clean_rows = fit_rows[~toxic[fit_rows]]
     share = max(1, NEGATIVE_UNITS // max(len(clean_rows), 1))
@@ -298,7 +327,7 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
         s = padded(i)
         room = len(s) - width
         for at in random.integers(0, room, share) if room > 0 else []:
-            negatives.append(s[at : at + width].copy())
+            negatives.append(s[at : at + width].astype(np.uint8))
     if not positives or not negatives:
         return None
     for _ in range(ROUNDS):
@@ -306,6 +335,7 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
         y = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
         picks = [plain[k] for k in random.permutation(len(plain))[:120]]
         picks += [negatives[k] for k in random.permutation(len(negatives))[:40]] + negatives[-40:]
+        picks += told.values()
         weight, bias = kernel_machine(units, y, np.unique(np.stack(picks), axis=0))
         for i in clean_rows:  # what it took for toxic teaches it next time
             s = padded(i)
@@ -313,7 +343,7 @@ def train(texts: list[bytes], toxic: np.ndarray, clean_share: float) -> Model |
             if len(scores):
                 for at in np.argsort(-scores)[:2]:
                     if scores[at] + bias > -1 and at + width <= len(s):
-                        negatives.append(s[at : at + width].copy())
+                        negatives.append(s[at : at + width].astype(np.uint8))
 
     rest = ~half if toxic[~half].any() and not toxic[~half].all() else half
     data = np.frombuffer(b"".join(t for t, r in zip(texts, rest, strict=True) if r), np.uint8)

@@ -179,3 +179,32 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(odd.limit(0), model).count() == 0
     none = toxicity.fit(docs, labels.where("toxic = 0"))
     assert none is None and {r.toxicity for r in toxicity.score(odd, none).collect()} == {0.0}
+
+
+def test_seeds_and_landmarks_follow_the_toxic_texts():
+    """Two hundred insults need more seeds than a fixed number; each is learned."""
+    random = np.random.default_rng(9)
+
+    def word(letters, n):
+        return "".join(random.choice(list(letters), n))
+
+    stems = [word("bcfgjkmpquvwxyz", 7) for _ in range(200)]
+
+    def text(stem=None):
+        words = [word("aeiorstnld", random.integers(2, 8)) for _ in range(20)]
+        return " ".join([*words[:9], *([stem] if stem else []), *words[9:]]).encode()
+
+    toxic = np.arange(2400) % 2 == 0
+    texts = [text(stems[k // 2 % 200] if y else None) for k, y in enumerate(toxic)]
+    seeds = toxicity.seeds([toxicity.SYMBOL[np.frombuffer(t, np.uint8)] for t in texts], toxic)
+    told = [
+        any(np.isin(toxicity.gram_codes(toxicity.SYMBOL[np.frombuffer(s.encode(), np.uint8)], k)[0], seeds).any() for k in toxicity.GRAMS)
+        for s in stems
+    ]
+    assert all(told)
+    order = random.permutation(2400)
+    model = toxicity.train([texts[k] for k in order], toxic[order], 0.5)
+    fresh = [text(s) for s in stems] + [text() for _ in stems]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in fresh])])
+    said = model.margins(np.frombuffer(b"".join(fresh), np.uint8), offsets) >= 0
+    assert said[:200].mean() > 0.95 and said[200:].mean() < 0.05
