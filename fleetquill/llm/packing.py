@@ -5,6 +5,9 @@ first: 5,000 tokens become 2048 + 2048 + 512 + 256 + 128 + 8. Every piece is a s
 of its own, so no sequence crosses documents and none needs padding; pieces of equal
 length share a bucket, from which batches of one shape are drawn.
 
+A vocabulary's special tokens are single ids wherever a text spells them out, if they are
+given; without them their strings are ordinary text.
+
 Defined results: a null or empty text is the closing token alone; repeated rows are packed
 each; a null id stays null; an empty table gives an empty table; other columns are ignored.
 """
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +35,25 @@ PIECES = (
 
 
 @functools.cache
-def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
+def encoding(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
     """Byte-level BPE from a file of ranks; one per worker process."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+        "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special)
     )
 
 
+def special_tokens(vocabulary_path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's JSON file."""
+    with open(vocabulary_path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if token["lstrip"] or token["rstrip"] or token["single_word"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} is not a plain string")
+    return {token["content"]: token["id"] for token in added}
+
+
 @functools.cache
 def powers(n: int, longest: int) -> tuple[int, ...]:
     """The binary decomposition of n below ``longest``, longest first."""
@@ -58,13 +72,23 @@ def pack(
     text_col: str = "text",
     longest: int = MAX_TOKENS,
     end_id: int = END_ID,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
-    """One row per piece: ids as little-endian unsigned 32-bit, bucket = log2(length)."""
+    """One row per piece: ids as little-endian unsigned 32-bit, bucket = log2(length);
+    ``special`` are the tokens that a text can hold by their strings."""
     if longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
 
+    known = tuple(sorted((special or {}).items()))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(ranks_path, pattern).encode_ordinary
+        own = encoding(ranks_path, pattern, known)
+
+        def encode(text: str) -> list[int]:
+            if any(token in text for token, _ in known):
+                return own.encode(text, allowed_special="all")
+            return own.encode_ordinary(text)
+
         for batch in batches:
             texts = batch.column(1)
             _, offsets = shared.byte_view(texts)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetquill.llm import chat, decontamination, language, neighbours, packing, pii, repeats, simhash, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +25,8 @@ def remainder(row_id: Column, by: int) -> Column:
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+    special = packing.special_tokens(public_tokenizers.path(VOCABULARY))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, special=special)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

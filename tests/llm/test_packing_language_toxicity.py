@@ -37,6 +37,20 @@ def test_pieces_are_the_tokens_of_whole_texts(spark):
     assert len(set(numbers)) == len(numbers)
 
 
+def test_special_tokens_are_those_of_the_tokenizer_as_loaded(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [*ODD, f"a{end} as text", end, end * 3, f"two  {end}  \n{end}\n x", f"<|endof{end}text|>", f"é{end}漢", "<|EndOfText|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for row in queries.pieces(df).collect():
+        got.setdefault(row.doc_id, []).append(row)
+    for k, encoded in enumerate(tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)):
+        own = sorted(got[k], key=lambda r: r.start)
+        assert np.concatenate([np.frombuffer(r.ids, "<u4") for r in own]).tolist() == [*encoded.ids, packing.END_ID]
+        assert {r.doc_tokens for r in own} == {len(encoded.ids) + 1}
+
+
 def test_packing_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", "x", 7)], "doc_id long, text string, ids string, start int")
     assert packed(df).columns == ["doc_id", "start", "length", "bucket", "ids", "doc_tokens"]
