@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetquill.llm import shared
+
 SAMPLE = 20_000
 LIST = 128
 ROUNDS = 8
@@ -49,7 +51,7 @@ class Index:
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): the rows that take part, as doubles."""
+    """(vec_id, v): the rows that take part, as doubles, each once."""
     v = F.col("v")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = rows.where(
@@ -58,7 +60,7 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         & F.exists(v, lambda x: x != 0)
     )
     widths = finite.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect()
-    return finite.where(F.size("v") == (widths[0]["w"] if widths else 0))
+    return finite.where(F.size("v") == (widths[0]["w"] if widths else 0)).distinct()
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -192,7 +194,7 @@ def search(
     """(query_id, rank, vec_id, score): the k nearest found of each query, which are the rows
     whose id is divisible by ``every``; score is the Euclidean distance."""
     schema = "query_id long, vec_id long, score double"
-    vectors = usable(table, id_col, vector_col)
+    vectors = shared.stage(usable(table, id_col, vector_col), "vectors")
     index = fit(vectors)
     if index is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

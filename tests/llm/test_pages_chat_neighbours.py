@@ -164,6 +164,13 @@ def test_odd_vectors_take_no_part(spark):
     assert neighbours.search(df.where("vec_id in (1, 2)"), every=20).count() == 0
 
 
+def test_repeated_rows_take_no_places(spark):
+    rows = [(0, [0.0, 1.0])] + [(k, [float(k), 1.0]) for k in range(1, 30)] + [(1, [1.0, 1.0])] * 15 + [(2, [2.0, 1.0])] * 40
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in neighbours.search(df, every=100).collect())
+    assert got == [(k, k, float(k)) for k in range(1, 11)]
+
+
 def test_pipeline_stages(spark):
     """Every stage's decision, taken from its operator's query on the same input."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
