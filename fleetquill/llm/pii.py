@@ -57,6 +57,46 @@ def mod97(match: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add) == 1
 
 
+#: Characters of an account number by country.
+LENGTHS = {
+    code: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for code in codes.split()
+}
+
+
+def account(rest: Column) -> Column:
+    """The account number that the text starts with: of the stretches of whole groups that
+    modulo 97 confirms, the one of its country's length, else the longest."""
+    near = F.substr(rest, F.lit(1), F.lit(68))  # 34 characters, 33 spaces, and what follows
+    run = F.regexp_extract(near, r"^[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![a-z])(?: [A-Z0-9]++(?![a-z]))*+", 0)
+    lengths = F.create_map(*[F.lit(x) for pair in LENGTHS.items() for x in pair])
+
+    def stretches(groups: Column) -> Column:
+        prefixes = F.transform(
+            F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), " ")
+        )
+        return F.filter(prefixes, lambda s: F.length(F.replace(s, F.lit(" "))).between(15, 34) & mod97(s))
+
+    def best(valid: Column) -> Column:
+        own = F.filter(
+            valid, lambda s: F.length(F.replace(s, F.lit(" "))) == F.try_element_at(lengths, F.substr(s, F.lit(1), F.lit(2)))
+        )
+        return F.coalesce(F.get(own, F.lit(0)), F.try_element_at(valid, F.lit(-1)))
+
+    return bound(bound(F.split(run, " "), stretches), best)
+
+
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the value, which is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def small_parts(match: Column) -> Column:
     part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
     return match.rlike(rf"^{part}(?:\.{part}){{3}}$")
@@ -70,6 +110,7 @@ class Kind:
     confirm: Callable[[Column], Column] | None
     checked: bool  # confirmed by a checksum
     words: str  # that name it, nearby
+    whole: Callable[[Column], Column] | None = None  # the match, from the text at its start; null if none
 
 
 KINDS = [
@@ -109,10 +150,11 @@ KINDS = [
     Kind(
         "iban",
         lambda text: text.rlike("[A-Z][A-Z][0-9][0-9]"),
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-        mod97,
+        r"(?<![A-Za-z0-9])[A-Z]{2}(?=[0-9]{2}(?: ?[A-Z0-9]){11})",  # where one can start
+        None,
         True,
         "iban|account|bank|konto",
+        account,
     ),
     Kind(
         "ssn",
@@ -143,7 +185,28 @@ def places(text: Column, kind: Kind) -> Column:
     found = F.aggregate(
         F.filter(pairs, lambda pair: pair["match"].isNotNull()), nothing, place, lambda state: state["spans"]
     )
-    return F.when(kind.hint(text), found)
+    return F.when(kind.hint(text), extended(text, found, kind.whole) if kind.whole else found)
+
+
+def extended(text: Column, starts: Column, whole: Callable[[Column], Column]) -> Column:
+    """Whole matches in place of their starts; what starts inside an earlier match is left out."""
+    text = text.cast("string")
+
+    def extend(start: Column) -> Column:
+        return bound(
+            whole(F.substr(text, start["start"] + 1, F.lit(68))),
+            lambda match: F.struct(
+                start["start"].alias("start"), (start["start"] + F.length(match)).alias("end"), match.alias("match")
+            ),
+        )
+
+    def append(spans: Column, span: Column) -> Column:
+        free = F.coalesce(span["start"] >= F.try_element_at(spans, F.lit(-1))["end"], F.lit(True))
+        return F.when(free, F.concat(spans, F.array(span))).otherwise(spans)
+
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    matches = F.filter(F.transform(starts, extend), lambda span: span["match"].isNotNull())
+    return F.aggregate(matches, none, append)
 
 
 def scored(text: Column, kind: Kind, rank: int, spans: Column) -> Column:

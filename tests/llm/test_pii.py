@@ -70,6 +70,28 @@ def test_added_kinds_need_checksum_or_words(spark):
     assert scores[0].score == 1.0 and all(s.score >= pii.KEEP for s in scores)
 
 
+def test_account_numbers_end_before_the_next_word(spark):
+    de, gb = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    spaced = "DE89 3704 0044 0532 0130 00"
+    rows = [
+        (1, f"{de} Please pay", [(0, 22)]),
+        (2, f"{spaced} BIC COBADEFF", [(0, 27)]),
+        (3, f"{de} 2024", [(0, 22)]),
+        (4, f"{de} {gb} {spaced} A B C", [(0, 22), (23, 50), (51, 78)]),
+        (5, f"\U0001f642é {gb} X", [(3, 30)]),
+        (6, f"{de}Please, x{de}, {de}1", []),
+        (7, "AB12 " * 500 + de, [(2_500, 2_522)]),
+        (8, f"XX99 {de}, NO9386011117947.", [(5, 27), (29, 44)]),
+        (9, "DE88370400440532013000 Please", []),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = pii.find(df)
+    got = {r.doc_id: [(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in found.collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    masked = {r.doc_id: r.text for r in pii.redact(found).collect()}
+    assert masked[1] == "[IBAN] Please pay" and masked[2] == "[IBAN] BIC COBADEFF"
+
+
 def test_redaction_masks_the_union_once(spark):
     rows = [
         (1, "mail a.b@c.de, ip 10.0.0.1.", 9),
