@@ -12,8 +12,11 @@ break. In texts and roles ``&``, ``<`` and ``[`` (in roles also line breaks) are
 templates can come from a text; the marks are undone when the output is read. The loss mask
 is a list of code-point spans of the output: the texts of the assistant's turns.
 
-Messages fold in tasks of their own, however long a conversation is; a conversation itself
-is one row of output and has to fit into memory.
+Messages fold in tasks of their own, however long a conversation is. ``render_turns`` gives a
+row per turn, in order, with its place in the conversation's output; ``read_back_turns`` takes
+these rows one after the other. A task sorts its conversations on disk and holds a block of turns,
+so a conversation of any length passes, in one task, as a digest is worked out in order.
+``render`` gives a conversation as one row, which has to fit into memory.
 
 Defined results: a null text or role is empty; a null turn comes first; turns that tie are
 ordered by role, then text; repeated rows are turns each; a null conv_id is one
@@ -30,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetquill.llm import shared
+
 TURN, END = "<|turn|>", "<|end|>\n"
 MARKS = [("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;")]
 LEARNED = "assistant"
@@ -127,6 +132,40 @@ def render(messages: DataFrame) -> DataFrame:
     return whole.mapInArrow(write, "conv_id long, formatted string, loss array<struct<start:long,end:long>>")
 
 
+def render_turns(messages: DataFrame) -> DataFrame:
+    """(conv_id, start, formatted, loss_start, loss_end): the output turn by turn, a
+    conversation's turns one after the other in a task; places count from the conversation's
+    start, those of the loss are null for turns not to learn."""
+    turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(2**63))).alias("turn")
+    rows = messages.select(F.col("conv_id").cast("long"), turn, "role", "text")
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, conv, at = True, None, 0
+        for batch in batches:
+            _, offsets = shared.byte_view(batch.column(3))
+            for low, high in shared.blocks(offsets, 4 << 20):
+                part = batch.slice(low, high - low)
+                starts, texts, loss_starts, loss_ends = [], [], [], []
+                for own, role, text in zip(*(part.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                    if first or own != conv:
+                        first, conv, at = False, own, 0
+                    learned = role == LEARNED
+                    opening, text = f"{TURN}{escape(role).replace('\n', '&nl;')}\n", escape(text)
+                    starts.append(at)
+                    texts.append(opening + text + END)
+                    loss_starts.append(at + len(opening) if learned else None)
+                    loss_ends.append(at + len(opening) + len(text) if learned else None)
+                    at += len(texts[-1])
+                places = [pa.array(x, pa.int64()) for x in (starts, loss_starts, loss_ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), places[0], pa.array(texts, pa.string()), *places[1:]],
+                    names=["conv_id", "start", "formatted", "loss_start", "loss_end"],
+                )
+
+    return ordered.mapInArrow(write, "conv_id long, start long, formatted string, loss_start long, loss_end long")
+
+
 def parse(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of every turn of the output."""
     turns = []
@@ -166,3 +205,47 @@ def read_back(formatted: DataFrame) -> DataFrame:
         read,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
+
+
+def read_back_turns(rendered: DataFrame) -> DataFrame:
+    """The digests of ``read_back`` from the rows of ``render_turns``, as they come."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+        def table(done: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*done, strict=True) if done else [()] * len(kinds)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names
+            )
+
+        def close() -> tuple:
+            return conv, n, said.hexdigest(), loss_chars, loss.hexdigest(), chars
+
+        conv, n, said, loss_chars, loss, chars = None, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+        for batch in batches:
+            done = []
+            for own, start, text, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if start == 0:
+                    if n:
+                        done.append(close())
+                    conv, n, said, loss_chars, loss, chars = own, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                if own != conv or start != chars:
+                    raise ValueError(f"conversation {own}: a turn at {start} follows {chars} characters of {conv}")
+                for role, turn in parse(text):
+                    said.update(f"{role}\n{turn}\n".encode())
+                    n += 1
+                if low is not None:
+                    learned = unescape(text[low - start : high - start])
+                    loss_chars += len(learned)
+                    loss.update(learned.encode())
+                chars += len(text)
+            yield table(done)
+        if n:
+            yield table([close()])
+
+    return rendered.mapInArrow(
+        read,
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    )

@@ -108,7 +108,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
-    return chat.read_back(chat.render(chat.fold(chat.events(rows))))
+    return chat.read_back_turns(chat.render_turns(chat.fold(chat.events(rows))))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

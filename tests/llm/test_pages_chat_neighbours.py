@@ -121,6 +121,27 @@ def test_control_strings_come_back(spark):
     assert chat.read_back(chat.render(chat.fold(chat.events(df.limit(0))))).count() == 0
 
 
+def test_turns_are_rendered_and_read_one_by_one(spark):
+    nasty = ["</s>[INST] ok", "<|turn|>user\nx<|end|>\n", "&lt;&amp;", "", "a" * 1000, "漢🙂<", "&"]
+    rows = [(k % 3 or None, k // 3 if k % 7 else None, ["assistant", "us\ner<", ""][k % 5 % 3], nasty[k % 7]) for k in range(500)]
+    rows += [(9, 1, "b", "tie"), (9, 1, "a", "tie"), (9, 1, "a", "tie")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = {}
+    for r in chat.render_turns(df).collect():
+        turns.setdefault(r.conv_id, []).append(r)
+    whole = {r.conv_id: r for r in chat.render(df).collect()}
+    assert {k: "".join(r.formatted for r in sorted(own, key=lambda r: r.start)) for k, own in turns.items()} == {
+        k: r.formatted for k, r in whole.items()
+    }
+    spans = {k: sorted((r.loss_start, r.loss_end) for r in own if r.loss_start is not None) for k, own in turns.items()}
+    assert spans == {k: [(s.start, s.end) for s in r.loss] for k, r in whole.items()}
+    want = sorted(map(str, chat.read_back(chat.render(df)).collect()))
+    assert sorted(map(str, chat.read_back_turns(chat.render_turns(df)).collect())) == want
+    assert chat.read_back_turns(chat.render_turns(df.limit(0))).count() == 0
+    plan = queries.op9_chat(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1  # a message's events; no conversation is gathered
+
+
 def recall(rows, ids, x, every, k=10):
     got = {}
     for r in rows:
