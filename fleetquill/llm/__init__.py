@@ -8,4 +8,4 @@ import sys
 
 from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(sys.modules["fleetquill"])

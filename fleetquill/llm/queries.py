@@ -9,7 +9,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquill.llm import chat, decontamination, language, neighbours, packing, pii, repeats, simhash, toxicity, warc
+from fleetquill.llm import (
+    chat,
+    clusters,
+    decontamination,
+    exact,
+    language,
+    neighbours,
+    packing,
+    periods,
+    pii,
+    repeats,
+    shared,
+    simhash,
+    toxicity,
+    warc,
+)
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -121,6 +136,57 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = exact.open_index(spark, shared.scratch(spark, "digest-index"))
+    added = exact.add(index, table(spark, sf_dir, "documents"))
+    return added.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of a tenth of the documents the words repeat from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+        own = F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(own, " ")).otherwise("")
+
+    changed = pii.bound(words, repeated)
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find(with_planted_period(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs = F.col("runs")
+    kind = found.schema["runs"].dataType.elementType
+
+    def higher(best: Column, run: Column) -> Column:
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    best = F.col("best")
+    return found.withColumn("best", F.aggregate(runs, F.lit(None).cast(kind), higher)).select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(runs, line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -132,6 +198,9 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
+    "op11_clusters": op11_clusters,
+    "op12_exact": op12_exact,
+    "op13_periods": op13_periods,
 }
 
 ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')"
@@ -141,7 +210,66 @@ WORDS = (
     "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+def clusters_sql(k: int = clusters.CLUSTERS, rounds: int = clusters.ROUNDS, width: int = clusters.WIDTH) -> str:
+    """k-means over integers, a pair of subqueries a round."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor({clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+),
+flat AS MATERIALIZED (SELECT r, unnest(range(1, {width + 1})) AS i, unnest(v) AS x FROM kept),
+first AS (
+    SELECT row_number() OVER (ORDER BY sha256('{clusters.SEED}:' || vec_id), v) - 1 AS k, v
+    FROM kept WHERE vec_id IS NOT NULL QUALIFY k < {k}
+),
+c0 AS MATERIALIZED (SELECT k, unnest(range(1, {width + 1})) AS i, unnest(v) AS x FROM first)"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""
+a{n} AS MATERIALIZED (
+    SELECT r, min(d) AS d, arg_min(k, d * {k} + k) AS k
+    FROM (SELECT r, k, CAST(sum((f.x - c.x) * (f.x - c.x)) AS BIGINT) AS d
+          FROM flat AS f JOIN c{n} AS c USING (i) GROUP BY r, k)
+    GROUP BY r
+)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""
+c{n + 1} AS MATERIALIZED (
+    SELECT k, i, coalesce(m.x, c.x) AS x
+    FROM c{n} AS c LEFT JOIN (
+        SELECT k, i, CAST((s - (s % n + n) % n) // n AS BIGINT) AS x
+        FROM (SELECT k, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM flat JOIN a{n} USING (r) GROUP BY k, i)
+    ) AS m USING (k, i)
+)"""
+            )
+    return f"""
+WITH {",".join(steps)},
+shapes AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM kept JOIN a{rounds} USING (r) JOIN shapes USING (k)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_clusters": clusters_sql(),
+    "op12_exact": """
+WITH own AS (
+    SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM own WINDOW w AS (PARTITION BY text_sha256)
+""",
     # base 32 from hexadecimal: five digits make four letters
     "op1_warc": """
 WITH hashed AS (

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetquill.plans import staging
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_FALLBACK = "/tmp/checkpoints"
 
@@ -30,7 +32,23 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = scratch(spark, name)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged.staged_at = path  # for release()
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for df in staged:
+        staging.drop(df.sparkSession, df.staged_at)
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the tables has, in any case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
