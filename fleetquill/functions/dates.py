@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -39,6 +40,15 @@ def try_iso_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-M-d")
 
 
+def parse_folder(name: str) -> dt.date | None:
+    """``try_iso_date`` of a folder's name, for the few names that the driver reads."""
+    match = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", name)
+    try:
+        return dt.date(*map(int, match.groups())) if match else None
+    except ValueError:
+        return None
+
+
 def path_segment(path: Column, index: int = 1) -> Column:
     """One ``/`` segment of an object key, null when the key has fewer segments."""
     return F.get(F.split(path, "/"), index)

@@ -37,6 +37,11 @@ def classify_files(lines: DataFrame) -> DataFrame:
     pre-aggregated before the shuffle and never holds a file's text.
     """
     coded = lines.select("path", "position", header_code(F.col("line")).alias("code"))
+    return classes_of(coded)
+
+
+def classes_of(coded: DataFrame) -> DataFrame:
+    """The same from lines of which only the code is left: path, position, code."""
     first = coded.groupBy("path").agg(
         F.min_by("code", "position").alias("code"),
         F.min("position").alias("header_position"),

@@ -152,9 +152,12 @@ DIMENSIONS: tuple[Dimension, ...] = (
 BY_NAME: dict[str, Dimension] = {d.name: d for d in DIMENSIONS}
 
 
-def derived_columns() -> dict[str, Column]:
-    """Columns no source holds; each is computed from the source that has its parts."""
-    months = dates.months_in_service(F.col("complaint_date"), F.col("delivery_date"))
+def derived_columns(known: Iterable[str] = ()) -> dict[str, Column]:
+    """Columns no source holds; each is computed from the source that has its parts, or
+    from the months in service where these are ``known``."""
+    months = F.col("months_diff")
+    if "months_diff" not in known:
+        months = dates.months_in_service(F.col("complaint_date"), F.col("delivery_date"))
     return {
         "ecu_name": text.ecu_name(
             F.col("diagnosis_address"), F.col("diagnosis_address_text")
@@ -168,7 +171,7 @@ def derived_columns() -> dict[str, Column]:
 
 
 def _pick(source: DataFrame, columns: Iterable[str]) -> DataFrame:
-    derived = derived_columns()
+    derived = derived_columns(source.columns)
     return source.select(
         *[
             derived[c].alias(c) if c in derived and c not in source.columns else F.col(c)
@@ -188,8 +191,8 @@ def _unjoined(dimension: Dimension) -> list[str]:
     return [KEY, *own, *PLACE]
 
 
-# Texts that one other column determines, and which determine it again.
-TEXT_OF = {"zp8_date_start": "zp8_date", "zp8_date_end": "zp8_date"}
+# Texts that one other column determines, so that only that one is shuffled.
+TEXT_OF = {"zp8_date_start": "zp8_date", "zp8_date_end": "zp8_date", "mis_label": "months_diff"}
 
 
 def _carried(columns: Iterable[str]) -> list[str]:
@@ -275,37 +278,90 @@ def build_together(
     reduced map-side per dimension before the shuffle.
     """
     (source_name,) = {d.source for d in dimensions}
-    source = sources[source_name]
+    if source_name != ERROR_FACT:
+        return joined_together(dimensions, sources)
     columns = all_columns(dimensions)
-    if source_name == ERROR_FACT:
-        return _distinct_sets(
-            _pick(source, columns), {d.name: d.columns for d in dimensions}, columns
-        )
+    return _distinct_sets(
+        _pick(sources[source_name], columns), {d.name: d.columns for d in dimensions}, columns
+    )
+
+
+def joined_together(
+    dimensions: Sequence[Dimension], sources: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The same for joined dimensions of any sources: each source is reduced by itself, and
+    one join leads all of them to the model names."""
     bridge = sources.get("model_bridge")
     if bridge is None:
         bridge = model_bridge(sources[ERROR_FACT])
-    own = [c for c in columns if c not in ("model_desc", KEY)]
-    reduced = _distinct_sets(
-        _pick(source, [KEY, *own]),
-        {d.name: _unjoined(d) for d in dimensions},
-        [KEY, *own],
-    )
-    return reduced.join(bridge, KEY).select("dimension", *columns).distinct()
+    columns = all_columns(dimensions)
+    parts = []
+    for source in dict.fromkeys(d.source for d in dimensions):
+        mine = [d for d in dimensions if d.source == source]
+        own = [c for c in all_columns(mine) if c not in ("model_desc", KEY)]
+        sets = {d.name: _unjoined(d) for d in mine}
+        parts.append(_distinct_sets(_pick(sources[source], [KEY, *own]), sets, [KEY, *own]))
+    reduced = parts[0]
+    for part in parts[1:]:
+        reduced = reduced.unionByName(part, allowMissingColumns=True)
+    shown = [c for c in columns if c != KEY]
+    shows_key = [d.name for d in dimensions if KEY in d.columns]
+    key = F.when(F.col("dimension").isin(shows_key), F.col(KEY)).alias(KEY)
+    found = reduced.join(bridge, KEY).select("dimension", *shown, *([key] if shows_key else []))
+    return found.select("dimension", *columns).distinct()
+
+
+def _labelled(rows: DataFrame, dimension: Dimension, columns: Sequence[str]) -> Column:
+    """A row of a wider dimension as a row of the given one: its columns, the rest null."""
+    kept = set(dimension.columns)
+    values = [
+        (F.col(c) if c in kept else F.lit(None).cast(rows.schema[c].dataType)).alias(c)
+        for c in columns
+    ]
+    return F.struct(F.lit(dimension.name).alias("dimension"), *values)
 
 
 def distinct_counts(
     dimensions: Sequence[Dimension], sources: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Row count of every dimension, one pass per source."""
+    """Row count of every dimension.
+
+    A source is read and reduced for the dimensions that no other one covers. Those that
+    are covered are cut from the rows of the narrowest that covers them, widest first, so
+    each is counted from rows that are distinct already. Complaints and vehicles meet the
+    bridge in one join.
+    """
+    covers = {d.name: covering(d, dimensions) for d in dimensions}
+    roots = [d for d in dimensions if covers[d.name] is None]
+    joined = [d for d in roots if d.source != ERROR_FACT]
     parts = []
-    for source_name in dict.fromkeys(d.source for d in dimensions):
-        mine = [d for d in dimensions if d.source == source_name]
-        parts.append(
-            build_together(mine, sources)
-            .groupBy("dimension")
-            .agg(F.count(F.lit(1)).alias("tuples"))
-        )
-    counts = parts[0]
+    fact = [d for d in roots if d.source == ERROR_FACT]
+    if fact:
+        parts.append(build_together(fact, sources))
+    if joined:
+        parts.append(joined_together(joined, sources))
+    rows = parts[0]
     for part in parts[1:]:
-        counts = counts.unionByName(part)
-    return counts
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    depth = 0
+    while True:  # as deep as dimensions cover each other, two levels today
+        columns = [c for c in rows.columns if c != "dimension"]
+        level = [d for d in dimensions if _depth(d, covers) == depth + 1]
+        if not level:
+            return rows.groupBy("dimension").agg(F.count(F.lit(1)).alias("tuples"))
+        narrower: dict[str, list[Dimension]] = {}
+        for d in level:
+            narrower.setdefault(covers[d.name].name, []).append(d)
+        own = F.struct("dimension", *columns)
+        cut = F.array(own)
+        for wider, mine in narrower.items():
+            more = F.array(own, *[_labelled(rows, d, columns) for d in mine])
+            cut = F.when(F.col("dimension") == wider, more).otherwise(cut)
+        rows = rows.select(F.inline(cut)).distinct()
+        depth += 1
+
+
+def _depth(dimension: Dimension, covers: Mapping[str, Dimension | None]) -> int:
+    """How many dimensions lie between one and the source."""
+    wider = covers[dimension.name]
+    return 0 if wider is None else 1 + _depth(wider, covers)

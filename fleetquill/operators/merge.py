@@ -88,24 +88,32 @@ def _run_length(total: Column, index: Column, size: int) -> Column:
     return F.least(total - index * size, F.lit(size).cast("long"))
 
 
+def _copied(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    copies = F.sequence(F.lit(1).cast("long"), F.col(COPIES))
+    return counted.withColumn("_copy", F.explode(copies)).select(*columns)
+
+
 def repeat_copies(counted: DataFrame) -> DataFrame:
     """Write every counted row out again as often as its count says.
 
-    A count has no upper bound, so the row is first cut into runs, the runs are spread
-    over the cluster, and only then at most ``RUN`` copies come from any one of them.
+    Up to ``RUN`` copies are written where the row is. A larger count has no upper bound,
+    so its row is cut into runs, the runs are spread over the cluster, and at most ``RUN``
+    copies come from any one of them. A batch without such counts is not shuffled for it:
+    what is to be spread turns out empty once the batch has been counted.
     """
     columns = [c for c in counted.columns if c != COPIES]
+    few = _copied(counted.where(F.col(COPIES) <= RUN), columns)
     block = RUN * INNER_RUNS
-    outer = counted.withColumn("_block", F.explode(_runs(F.col(COPIES), block)))
+    outer = counted.where(F.col(COPIES) > RUN).withColumn(
+        "_block", F.explode(_runs(F.col(COPIES), block))
+    )
     outer = outer.withColumn(
         COPIES, _run_length(F.col(COPIES), F.col("_block"), block)
     )
     inner = outer.withColumn("_run", F.explode(_runs(F.col(COPIES), RUN)))
     inner = inner.withColumn(COPIES, _run_length(F.col(COPIES), F.col("_run"), RUN))
     spread = inner.repartition(*columns, "_block", "_run")
-    return spread.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES)))
-    ).select(*columns)
+    return few.unionByName(_copied(spread, columns))
 
 
 def new_rows(

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fleetquill.functions import text
 from fleetquill.sources import listing as listings
 
-# Shares a name's free version numbers are ranked in before the final ranking.
-SHARES = 32
+# A name's taken version numbers are ranked in stretches of so many numbers.
+STRETCH = 65536
 
 
 @dataclass(frozen=True)
@@ -89,53 +89,73 @@ def mark_duplicates(
     return _taken(keyed, target, "_key", "is_duplicate").drop("_key")
 
 
-def free_versions(wanted: DataFrame, existing: DataFrame) -> DataFrame:
-    """The first free ``_N`` numbers of every wanted name: duplicate_key, place, version.
+def taken_ranks(taken: DataFrame) -> DataFrame:
+    """(duplicate_key, version, rank): how many smaller versions a name has.
 
-    With c files after a name, its c first free numbers each lie at most c above a
-    taken one (or above -1). Those neighbours minus the taken numbers are found with
-    joins on (name, number) pairs, so a name with any quantity of versions is spread
-    over the cluster. They are ranked within shares of a name first and each share
-    keeps c of them, which bounds what the final ranking sees and loses nothing.
+    A name's versions are ranked within stretches of ``STRETCH`` numbers, to which the
+    versions in the stretches before are added, so no task sees more than one stretch of
+    a name however many versions it has.
     """
+    stretch = F.floor(F.col("version") / STRETCH).alias("_stretch")
+    placed = taken.select("duplicate_key", "version", stretch)
+    sizes = placed.groupBy("duplicate_key", "_stretch").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("duplicate_key").orderBy("_stretch").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = sizes.select(
+        "duplicate_key", "_stretch", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("duplicate_key", "_stretch").orderBy("version")
+    return (
+        placed.withColumn("_inside", F.row_number().over(inside) - 1)
+        .join(offsets, ["duplicate_key", "_stretch"])
+        .select("duplicate_key", "version", (F.col("_before") + F.col("_inside")).alias("rank"))
+    )
+
+
+def taken_versions(existing: DataFrame) -> DataFrame:
+    """(duplicate_key, version) of a listing's ``<name>_<N>`` paths."""
     digits = F.regexp_extract("path", r"_([0-9]+)$", 1)
-    number = F.col("version")
-    taken = (
+    return (
         existing.select(
             F.regexp_extract("path", r"^(.*)_[0-9]+$", 1).alias("duplicate_key"),
             digits.try_cast("bigint").alias("version"),
             digits.alias("_digits"),
         )
-        .where(number.cast("string") == F.col("_digits"))
+        .where(F.col("version").cast("string") == F.col("_digits"))
         .select("duplicate_key", "version")
     )
-    names = wanted.groupBy("duplicate_key").agg(F.count(F.lit(1)).alias("_files"))
-    mine = taken.join(names, "duplicate_key")
-    starts = mine.unionByName(names.withColumn("version", F.lit(-1).cast("bigint")))
-    free = (
-        starts.select(
-            "duplicate_key",
-            "_files",
-            F.explode(F.sequence(number + 1, number + F.col("_files"))).alias(
-                "version"
-            ),
-        )
-        .distinct()
-        .join(
-            mine.select("duplicate_key", "version"),
-            ["duplicate_key", "version"],
-            "left_anti",
-        )
-        .withColumn("_share", F.pmod(F.col("version"), F.lit(SHARES)))
+
+
+def free_versions(wanted: DataFrame, existing: DataFrame) -> DataFrame:
+    """``wanted`` (duplicate_key, place, ...) and ``version``: of its name's free ``_N``
+    numbers the one at its place, counted from 1.
+
+    Below a taken number v of rank r lie v - r free ones, the same for all of an unbroken
+    island of taken numbers. The free number with k free ones below it is k plus the taken
+    numbers below it: those of the islands with a v - r of at most k. So the islands and
+    the places are put in one order and the last island before a place tells its number:
+    rows as many as files and islands, not their product.
+    """
+    names = wanted.groupBy("duplicate_key").agg(F.max("place").alias("_places"))
+    mine = taken_versions(existing).join(names, "duplicate_key", "left_semi")
+    gap = F.col("version") - F.col("rank")
+    islands = (
+        taken_ranks(mine)
+        .groupBy("duplicate_key", gap.alias("_at"))
+        .agg((F.max("rank") + 1).alias("_taken"))
+        .join(names, "duplicate_key")
+        .where(F.col("_at") < F.col("_places"))  # the others are above all places
+        .select("duplicate_key", "_at", "_taken")
     )
-    in_share = Window.partitionBy("duplicate_key", "_share").orderBy("version")
-    overall = Window.partitionBy("duplicate_key").orderBy("version")
+    asked = wanted.withColumn("_at", (F.col("place") - 1).cast("bigint"))
+    order = Window.partitionBy("duplicate_key").orderBy("_at", F.col("place").asc_nulls_first())
+    known = F.coalesce(F.max("_taken").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
     return (
-        free.withColumn("place", F.row_number().over(in_share))
-        .where(F.col("place") <= F.col("_files"))
-        .withColumn("place", F.row_number().over(overall))
-        .where(F.col("place") <= F.col("_files"))
-        .select("duplicate_key", "place", "version")
+        asked.unionByName(islands, allowMissingColumns=True)
+        .withColumn("version", F.col("_at") + known)
+        .where(F.col("place").isNotNull())
+        .drop("_at", "_taken")
     )
 
 
@@ -154,16 +174,10 @@ def duplicate_versions(plan: DataFrame, existing: DataFrame) -> DataFrame:
     # with the plain name free, the first file takes it and the next ones move up
     placed = ranked.withColumn(
         "place", F.col("_rank") - F.when(F.col("_name_taken"), 0).otherwise(1)
-    )
-    free = free_versions(plan, existing)
-    return (
-        placed.join(free, ["duplicate_key", "place"], "left")
-        .withColumn(
-            "version",
-            F.when(F.col("place") == 0, F.lit(-1)).otherwise(F.col("version")),
-        )
-        .drop("_name_taken", "_rank", "place")
-    )
+    ).drop("_name_taken", "_rank")
+    plain = placed.where(F.col("place") == 0).withColumn("version", F.lit(-1).cast("bigint"))
+    later = free_versions(placed.where(F.col("place") > 0), existing)
+    return plain.unionByName(later).drop("place")
 
 
 def _version_suffix(version: Column) -> Column:

@@ -12,7 +12,7 @@ from fleetquill import schemas
 from fleetquill.functions import dates
 from fleetquill.operators import baseline, merge
 from fleetquill.plans import core_load, upsert
-from fleetquill.sources import load_log, readers
+from fleetquill.sources import formats, load_log, readers
 
 NAME = "baseline"
 
@@ -22,6 +22,7 @@ class BaselinePaths:
     landing: str
     table: str
     load_log: str
+    table_format: str = formats.DEFAULT
 
 
 def stored_table(paths: BaselinePaths) -> upsert.Table:
@@ -33,6 +34,7 @@ def stored_table(paths: BaselinePaths) -> upsert.Table:
         "validfrom",
         paths.load_log,
         prune_by="productId",
+        table_format=paths.table_format,
     )
 
 
@@ -53,7 +55,9 @@ def merge_documents(
 
 
 def is_initial_load(spark: SparkSession, paths: BaselinePaths) -> bool:
-    return load_log.is_initial_load(spark, paths.load_log, {NAME: paths.table})
+    return load_log.is_initial_load(
+        spark, paths.load_log, {NAME: paths.table}, paths.table_format
+    )
 
 
 def find_watermark(
@@ -65,7 +69,7 @@ def find_watermark(
         return start
     if explicit is not None:
         return dt.date.fromisoformat(str(explicit))
-    log = load_log.read_load_log(spark, paths.load_log)
+    log = load_log.read_load_log(spark, paths.load_log, paths.table_format)
     mine = load_log.latest_load(log.where(F.col("table_name") == NAME)).first()
     return mine["latest_load"] if mine else start
 

@@ -6,36 +6,40 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetquill.sources import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def is_machine_local(path: str) -> bool:
-    return path.startswith("file:")
+def is_machine_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path, with the default file system if it names none, is on a single disk."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getUri().getScheme() == "file"
 
 
 def staging_folder(spark: SparkSession, fallback: str) -> str:
     """A new folder in the shared folder the cluster names for checkpoints.
 
-    ``fallback`` serves where none is named; it has to be shared storage as well, which
-    a path on a cluster member's own disk is not.
+    ``fallback`` serves where none is named; it has to be shared storage as well. A path
+    without a scheme, or one on a member's own disk, is taken on a cluster only if it is
+    named for checkpoints, as that folder may be mounted everywhere.
     """
     master = spark.sparkContext.master
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if not named and not master.startswith("local") and is_machine_local(fallback):
+    if not named and not master.startswith("local") and is_machine_local(spark, fallback):
         raise ValueError(f"{fallback} is not shared: set {CHECKPOINT_DIR}")
     shared = named or fallback
     return f"{shared.rstrip('/')}/fleetquill-{uuid.uuid4().hex}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return files.exists(spark, path)
 
 
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a staged table that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files.delete(spark, path)
 
 
 def stage(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:

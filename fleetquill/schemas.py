@@ -85,10 +85,13 @@ BASELINE_STORED = T.StructType(
 )
 
 RAW_RESPONSE = T.StructType(
-    _strings("url", "uuid")
+    _strings("url", "product_id", "uuid")
     + [T.StructField("status", T.IntegerType(), True)]
     + _strings("body")
 )
+# A response as it lands, and what a baseline file's line can be: a document or such a row.
+LANDED_RESPONSE = T.StructType(_strings("object_key", "product_id", "uuid", "body"))
+LANDED_BASELINE = T.StructType([*BASELINE_DOCUMENT.fields, *_strings("body")])
 
 LOAD_LOG = T.StructType(
     _strings("table_name", "load_id", "operation")

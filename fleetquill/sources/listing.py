@@ -26,6 +26,11 @@ def list_files(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
     )
 
 
+def is_pattern(root: str) -> bool:
+    """Whether a root names more than one folder by wildcards."""
+    return any(c in root for c in "*?[{")
+
+
 def plain_root(root: str) -> str:
     """A root as listed paths show it: without empty, `.` and `..` segments."""
     scheme, mark, rest = root.rpartition("://")

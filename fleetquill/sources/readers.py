@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetquill import schemas
+from fleetquill.sources import formats
 
 Paths = str | Sequence[str]
 
@@ -62,12 +63,21 @@ def read_maintenance_control(
 def read_baselines(
     spark: SparkSession, paths: Paths, multi_line: bool = False
 ) -> DataFrame:
-    """Baseline documents, one per line (``multi_line`` for pretty-printed files)."""
-    return (
-        spark.read.schema(schemas.BASELINE_DOCUMENT)
-        .option("multiLine", multi_line)
-        .json(_paths(paths))
-    )
+    """Baseline documents, one per line (``multi_line`` for pretty-printed files), and
+    responses as they are landed, each with its document as a text."""
+    found = spark.read.schema(schemas.LANDED_BASELINE).option("multiLine", multi_line)
+    return whole_documents(found.json(_paths(paths)))
+
+
+def whole_documents(found: DataFrame, *keep: str | Column) -> DataFrame:
+    """(content, *keep): documents that are lines themselves or texts in a landed row."""
+    parsed = F.from_json("body", schemas.BASELINE_DOCUMENT)["content"]
+    return found.select(F.coalesce("content", parsed).alias("content"), *keep)
+
+
+def read_landed_responses(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Landed responses: object_key, product_id, uuid and the body as it came."""
+    return spark.read.schema(schemas.LANDED_RESPONSE).json(_paths(paths))
 
 
 def read_table_path(
@@ -80,7 +90,7 @@ def read_table_path(
 
     A declared schema keeps text partition values text and columns in its order.
     """
-    reader = spark.read.format(table_format)
+    reader = formats.reader(spark, table_format)
     if schema is None:
         return reader.load(path)
     return reader.schema(schema).load(path).select(*schema.fieldNames())

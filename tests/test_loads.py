@@ -1,5 +1,6 @@
 """Readers, writers and whole loads on files in scratch folders."""
 
+import dataclasses
 import datetime as dt
 import os
 
@@ -10,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from conftest import rows
 from fleetquill import jobs, schemas
 from fleetquill.catalog import queries
-from fleetquill.functions import dates
+from fleetquill.functions import dates, text
 from fleetquill.operators import core, dimensions, merge
 from fleetquill.plans import (
     baseline_load,
@@ -21,7 +22,7 @@ from fleetquill.plans import (
     upsert,
 )
 from fleetquill.sinks import writers
-from fleetquill.sources import listing, load_log, readers
+from fleetquill.sources import files, listing, load_log, readers
 from fleetquill.streaming import landing_stream
 
 D = dt.date
@@ -191,6 +192,113 @@ def test_merge_prunes_the_target_to_the_load_date(spark, core_paths):
     assert new.count() == 0
 
 
+def test_only_new_folders_are_listed(spark, core_paths, monkeypatch):
+    """Of the history only folder names are asked for, and no scan covers it."""
+    core_load.load_core(spark, core_paths, "2024-01-07", KEEP)
+    write(core_paths.landing, "2024-01-08/c.csv", PROD, "m4;2022;s;p")
+    write(core_paths.landing, "2024-1-9/d.csv", PROD, "m5;2022;s;p")
+    os.makedirs(f"{core_paths.landing}/2024-01-10")
+    looked, scanned = [], []
+    below, lines = files.files_below, readers.read_core_lines
+    monkeypatch.setattr(files, "files_below", lambda s, path: looked.append(path) or below(s, path))
+    monkeypatch.setattr(readers, "read_core_lines", lambda s, paths: scanned.extend(paths) or lines(s, paths))
+    loaded = core_load.load_core(spark, core_paths, "2024-01-11", KEEP, watermark="2024-01-07")
+    assert loaded == {"modprod": 2, "modkpb": 0}
+    root = core_paths.landing
+    assert scanned == [f"{root}/2024-01-08", f"{root}/2024-1-9"]
+    assert [p for p in looked if p.startswith(f"{root}/")] == [*scanned, f"{root}/2024-01-10"]
+
+
+@pytest.mark.parametrize("table_format", ["csv", "json", "parquet"])
+def test_loads_in_any_table_format(spark, folder, core_paths, table_format):
+    """Appends, existence, load log, watermark and pruned merge on tables of each format."""
+    paths = dataclasses.replace(core_paths, table_format=table_format)
+    table = core_load.stored_table(paths, "modprod")
+    assert not table.exists(spark)
+    assert core_load.load_core(spark, paths, "2024-02-29", KEEP) == {"modprod": 5, "modkpb": 1}
+    assert core_load.load_core(spark, paths, "2024-02-29", KEEP, watermark="2024-01-01") == {"modprod": 2, "modkpb": 0}
+    assert core_load.find_watermark(spark, paths) >= D(2024, 2, 29)
+    stored = table.read(spark)
+    assert stored.schema == schemas.MODPROD_STORED or [f.dataType for f in stored.schema] == [f.dataType for f in schemas.MODPROD_STORED]
+    assert rows(stored.select("Model", "Model_Year", "Load_Date").distinct()) == [
+        ("m1", "2022", D(2024, 2, 29)),
+        ("m2", None, D(2024, 2, 29)),
+        ("m3", "2023", D(2024, 2, 29)),
+    ]
+    land = f"{folder}/base"
+    base = baseline_load.BaselinePaths(land, f"{folder}/baselines", f"{folder}/base_log", table_format)
+    write(land, "2024-01-01/a", _baseline("V1", "p", "h1"))
+    assert baseline_load.load_baselines(spark, base, "2024-02-01", KEEP) == 1
+    write(land, "2024-01-02/b", _baseline("V1", "p", "h1"), _baseline("V2", "p", "h1"), end="\n")
+    assert baseline_load.load_baselines(spark, base, "2024-02-02", KEEP, watermark="2024-01-01") == 1
+    kept = baseline_load.stored_table(base).read(spark)
+    assert rows(kept.select("productId", "validfrom")) == [("V1", "1600-01-01"), ("V2", "2024-01-02")]
+
+
+@pytest.mark.parametrize("table_format", ["csv", "json", "parquet"])
+def test_appended_tables_read_back_equal(spark, folder, table_format):
+    schema = "a string, n int, at timestamp, validfrom string"
+    at = dt.datetime(2024, 5, 6, 7, 8, 9, 123456)
+    data = [(" x ", 1, at, "1600-01-01"), ('q"u;o,te\\', None, None, "2024-01-02"), ("", 2, at, "2024-01-02"), (None, 3, at, "2024-01-02"), ("a\\b", 5, at, "2024-01-02"), ("two\nlines", 4, at, "2024-01-03")]
+    df = spark.createDataFrame(data, schema)
+    assert writers.append_partitioned(df, f"{folder}/t", "validfrom", table_format) == len(data)
+    assert writers.append_partitioned(df, f"{folder}/t", "validfrom", table_format, cluster=["a", "n"]) == len(data)
+    back = readers.read_table_path(spark, f"{folder}/t", df.schema, table_format)
+    assert rows(back) == rows(df.union(df))
+
+
+def test_a_folder_of_other_files_is_no_table(spark, folder):
+    write(folder, "t/part-0.csv", "a;b")
+    write(folder, "u/_SUCCESS", "")
+    assert not load_log.table_exists(spark, f"{folder}/t")
+    assert load_log.table_exists(spark, f"{folder}/t", "csv")
+    assert not load_log.table_exists(spark, f"{folder}/u", "csv")
+    assert not load_log.table_exists(spark, f"{folder}/nowhere")
+
+
+def test_pruned_merge_reads_few_row_groups(spark, folder):
+    """A batch of one product leaves out the files whose statistics exclude it."""
+    table = baseline_load.stored_table(baseline_load.BaselinePaths("", f"{folder}/t", f"{folder}/l"))
+    keys = [F.lit("x").alias(k) for k in table.keys if k != "productId"]
+    stored = spark.range(4000).select(
+        F.format_string("V%03d", F.col("id") % 400).alias("productId"),
+        F.col("id").cast("string").alias("partNumber"),
+        *[k for k, name in zip(keys, [k for k in table.keys if k != "productId"]) if name != "partNumber"],
+        F.lit("2024-01-01").alias("validfrom"),
+        F.lit(D(2039, 1, 1)).alias("KSU_LOESCH_DATUM"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        assert table.append(stored) == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    for products, most in (([7], 2000), ([7, 390], 2400), (range(400), 4000)):
+        values = spark.createDataFrame([(f"V{k:03d}",) for k in products], "productId string")
+        part = upsert.matching_part(table.read(spark), values, "productId")
+        assert part.count() == 10 * len(products)
+        assert scanned_rows(part) <= most, products
+
+
+def scanned_rows(df):
+    """Rows that the scan of the largest table gave, row groups left out not counted."""
+    execution = df._jdf.queryExecution()
+    plan = execution.executedPlan()
+    plan.execute().count()
+    plan = plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    counts, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            counts.append(node.metrics().apply("numOutputRows").value())
+        if "QueryStage" in name:
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return max(counts)
+
+
 # --- baseline load ----------------------------------------------------------------------------
 
 
@@ -272,7 +380,7 @@ def test_core_stream_takes_new_files_only(spark, folder):
     assert run() == 2
     write(land, "b.csv", PROD, "m1;2022;s;p", "m3;2022;s;p")
     assert run() == 3
-    assert not os.path.exists(landing_stream.pending_folder(f"{folder}/cp"))
+    assert os.listdir(landing_stream.pending_folder(f"{folder}/cp")) == []
     assert load_log.read_load_log(spark, paths.load_log).count() == 4
 
 
@@ -296,6 +404,78 @@ def test_baseline_stream(spark, folder):
     ]
 
 
+class Died(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("where", ["drop", "second table", "before log"])
+def test_core_stream_merges_every_batch_once_after_a_crash(spark, folder, monkeypatch, where):
+    """A run dies after or between its log rows, or with rows written and none logged; new
+    files come; the next run is on another day. Each file is loaded under its own day."""
+    land = f"{folder}/core"
+    paths = core_load.CorePaths(land, f"{folder}/prod", f"{folder}/kpb", f"{folder}/log")
+
+    def run(day):
+        return landing_stream.stream_core(spark, land, paths, f"{folder}/cp", day, KEEP)
+
+    def die(*_, **__):
+        raise Died
+
+    write(land, "a.csv", PROD, "m0;2022;s;p")
+    run("2024-02-28")
+    write(land, "b.csv", PROD, "m1;2022;s;p")
+    write(land, "k.csv", KPB, "m1;s;p;k")
+    with monkeypatch.context() as patch:
+        if where == "drop":
+            real = staging.drop
+            patch.setattr(staging, "drop", lambda s, path: die() if "pending" in path else real(s, path))
+        elif where == "before log":
+            patch.setattr(load_log, "append_load", die)
+        else:
+            real_upsert = upsert.upsert_insert_only
+            patch.setattr(
+                upsert,
+                "upsert_insert_only",
+                lambda s, rows_, table, **how: die() if table.name == "modkpb" else real_upsert(s, rows_, table, **how),
+            )
+        with pytest.raises(Died):
+            run("2024-03-01")
+    write(land, "c.csv", PROD, "m2;2022;s;p", "m2;2022;s;p")
+    run("2024-03-02")
+    assert run("2024-03-03") == {"modprod": 0, "modkpb": 0}
+    days = {"m0": D(2024, 2, 28), "m1": D(2024, 3, 1), "m2": D(2024, 3, 2)}
+    got = spark.read.parquet(paths.modprod).select("Model", "Load_Date")
+    assert rows(got) == [(m, days[m]) for m in ("m0", "m1", "m2", "m2")]
+    assert rows(spark.read.parquet(paths.modkpb).select("Model", "Load_Date")) == [("m1", days["m1"])]
+
+
+def test_baseline_stream_after_a_crash(spark, folder, monkeypatch):
+    land = f"{folder}/base"
+    paths = baseline_load.BaselinePaths(land, f"{folder}/table", f"{folder}/log")
+
+    def run(day):
+        return landing_stream.stream_baselines(spark, f"{land}/*", paths, f"{folder}/cp", day, KEEP)
+
+    write(land, "2024-01-01/a", _baseline("V1", "p", "h1"))
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "drop", lambda s, path: (_ for _ in ()).throw(Died()))
+        with pytest.raises(Died):
+            run("2024-02-28")
+    write(land, "2024-01-02/b", _baseline("V2", "p", "h1"))
+    assert run("2024-02-29") == 1
+    assert _validity(spark, paths.table) == [("V1", "h1", "1600-01-01"), ("V2", "h1", "2024-01-02")]
+
+
+def test_a_new_checkpoint_starts_a_new_ledger(spark, folder):
+    land = f"{folder}/core"
+    paths = core_load.CorePaths(land, f"{folder}/prod", f"{folder}/kpb", f"{folder}/log")
+    for k in range(3):
+        write(land, f"{k}.csv", PROD, f"m{k};2022;s;p")
+        landing_stream.stream_core(spark, land, paths, f"{folder}/cp", "2024-02-28", KEEP)
+    again = landing_stream.stream_core(spark, land, paths, f"{folder}/cp2", "2024-02-29", KEEP)
+    assert again["modprod"] == 3
+
+
 @pytest.mark.parametrize("limit", [1, 1000])
 def test_baseline_stream_does_not_depend_on_batches_or_arrival(spark, folder, limit):
     """The older snapshot arrives last; the table is the one the batch load gives."""
@@ -330,8 +510,11 @@ def test_roots_are_normalized_and_foreign_paths_refused(spark, folder):
         paths = core_load.CorePaths(f"{folder}/{root}", *(f"{folder}/{abs(hash(root))}/{k}" for k in "pkl"))
         assert core_load.load_core(spark, paths, "2024-02-29", KEEP)["modprod"] == 1
     paths = core_load.CorePaths(f"{folder}/land/co*", *(f"{folder}/glob/{k}" for k in "pkl"))
-    with pytest.raises(Exception, match="is not below"):
+    with pytest.raises(ValueError, match="is a pattern"):
         core_load.load_core(spark, paths, "2024-02-29", KEEP)
+    found = listing.relative_to(listing.list_files(spark, f"{folder}/land/co*"), f"{folder}/land/co*")
+    with pytest.raises(Exception, match="is not below"):
+        found.collect()
 
 
 def test_dimensions_need_their_sources(spark, folder):
@@ -389,20 +572,47 @@ def test_staging_uses_the_shared_folder(spark, folder):
 def test_land_responses(spark, folder):
     raw = spark.createDataFrame(
         [
-            ("u", "1", 200, '{\r\n"content": {"productId": "V1"}}'),
-            ("u", "2", 404, None),
-            ("u", "3", 403, None),
-            ("u", "4", 200, "<p>"),
+            ("u", "V1", "1", 200, '{\r\n"content": {"productId": "V1"}}'),
+            ("u", "V1", "2", 404, None),
+            ("u", "V1", "3", 403, None),
+            ("u", None, "4", 200, "<p>"),
         ],
         schemas.RAW_RESPONSE,
     )
     with pytest.raises(response_landing.FailedResponses):
         response_landing.land_responses(raw, folder, "2024-03-01")
     for _ in range(2):  # a rerun replaces the day
-        found = response_landing.land_responses(raw, folder, "2024-03-01", strict=False)
+        found = response_landing.land_responses(raw, f"{folder}/baselines", "2024-03-01", strict=False)
     assert found == {"ok": 1, "skipped": 1, "error": 1, "invalid_json": 1}
-    landed = readers.read_baselines(spark, f"{folder}/2024-03-01")
-    assert rows(landed.select("content.productId")) == [("V1",)]
+    day = f"{folder}/baselines/2024-03-01"
+    write(day, "bare", '{"content":{"productId":"V2"}}')
+    landed = readers.read_baselines(spark, day)
+    assert rows(landed.select("content.productId")) == [("V1",), ("V2",)]
+    (row,) = readers.read_landed_responses(spark, day).where("body is not null").collect()
+    assert row.body == raw.first().body
+    assert row.object_key == "baselines/2024-03-01/V1_2024-03-01_1"
+    rebuilt = text.raw_object_key("baselines/", F.lit("2024-03-01"), F.lit(row.product_id), F.lit(row.uuid))
+    assert spark.range(1).select(rebuilt).first()[0] == row.object_key
+
+
+def test_landed_responses_load_like_bare_documents(spark, folder):
+    """A batch load and a stream over landed rows give the table of bare documents."""
+    bodies = [_baseline("V1", "p", "h1"), _baseline("V2", "p", "h1")]
+    raw = [("u", f"V{k + 1}", str(k), 200, body) for k, body in enumerate(bodies)]
+    response_landing.land_responses(
+        spark.createDataFrame(raw, schemas.RAW_RESPONSE), f"{folder}/landed", "2024-01-01"
+    )
+    for k, body in enumerate(bodies):
+        write(f"{folder}/bare", f"2024-01-01/{k}", body)
+    tables = []
+    for kind in ("landed", "bare"):
+        paths = baseline_load.BaselinePaths(f"{folder}/{kind}", f"{folder}/t-{kind}", f"{folder}/l-{kind}")
+        baseline_load.load_baselines(spark, paths, "2024-02-01", KEEP)
+        tables.append(_validity(spark, paths.table))
+        streamed = baseline_load.BaselinePaths(f"{folder}/{kind}", f"{folder}/ts-{kind}", f"{folder}/ls-{kind}")
+        landing_stream.stream_baselines(spark, f"{folder}/{kind}/*", streamed, f"{folder}/cp-{kind}", "2024-02-01", KEEP)
+        tables.append(_validity(spark, streamed.table))
+    assert all(t == [("V1", "h1", "1600-01-01"), ("V2", "h1", "1600-01-01")] for t in tables)
 
 
 # --- command line ----------------------------------------------------------------------------------

@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from fleetquill import schemas
+from fleetquill.catalog import queries
 from fleetquill.functions import dates
 from fleetquill.operators import (
     baseline,
@@ -423,3 +425,70 @@ def test_maintenance_due(spark):
     df = spark.createDataFrame(control, schemas.VACUUM_CONTROL)
     due = maintenance.due(df, "vacuum", "2024-01-10")
     assert rows(due.select("table_name")) == [("never",), ("today",)]
+
+
+# --- merges, versions, counts at size ---------------------------------------------------------
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_an_ordinary_batch_is_not_shuffled_for_its_repeats(spark):
+    keys = ["k"]
+    target = spark.createDataFrame([("a",), ("b",)], "k string")
+    updates = spark.createDataFrame([("b",), ("c",), ("c",), (None,), (None,)], "k string")
+    new = merge.new_rows(updates, target, keys)
+    assert rows(new) == [(None,), (None,), ("c",), ("c",)]
+    assert "REPARTITION" not in final_plan(new)
+    many = merge.new_rows(updates.union(spark.range(1000).select(F.lit("d"))), target, keys)
+    assert many.groupBy("k").count().where("k = 'd'").first()["count"] == 1000
+    assert "REPARTITION" in final_plan(many)
+
+
+def test_versions_of_a_name_with_a_million(spark):
+    """Every tenth number is free; ten thousand files take the first of them in order."""
+    taken = spark.range(1_000_000).where("id % 10 <> 3").select(F.concat(F.lit("dup/a.csv_"), "id").alias("path"))
+    listed = taken.unionByName(spark.createDataFrame([("dup/a.csv",), ("dup/a.csv_007",), ("dup/b.csv_0",)], "path string"))
+    plan = spark.range(10_000).select(
+        F.format_string("in/%05d", "id").alias("path"),
+        F.lit(dt.datetime(2024, 1, 1)).alias("modified_at"),
+        F.lit("dup/a.csv").alias("duplicate_key"),
+    )
+    got = {r.path: r.version for r in moves.duplicate_versions(plan, listed).select("path", "version").collect()}
+    assert got == {f"in/{k:05d}": 10 * k + 3 for k in range(10_000)}
+
+
+def test_versions_equal_a_search_one_by_one(spark):
+    draw = random.Random(6)
+    names = [f"d/{c}.csv" for c in "abcde"]
+    taken = {n: {draw.randrange(12) for _ in range(draw.randrange(14))} for n in names}
+    taken["d/e.csv"] |= {moves.STRETCH - 1, moves.STRETCH, moves.STRETCH + 1}
+    plain = {n for n in names if draw.random() < 0.6}
+    listed = [(f"{n}_{v}",) for n in names for v in taken[n]] + [(n,) for n in plain]
+    plan = [(f"in/{k}", dt.datetime(2024, 1, 1 + draw.randrange(9)), draw.choice(names)) for k in range(60)]
+    want = {}
+    for path, _, name in sorted(plan, key=lambda p: (p[1], p[0])):
+        if name not in plain:
+            plain.add(name)
+            want[path] = -1
+            continue
+        want[path] = next(v for v in range(100) if v not in taken[name])
+        taken[name].add(want[path])
+    df = spark.createDataFrame(plan, "path string, modified_at timestamp, duplicate_key string")
+    numbered = moves.duplicate_versions(df, spark.createDataFrame(listed, "path string"))
+    assert {r.path: r.version for r in numbered.collect()} == want
+
+
+def test_counts_read_the_bridge_once_and_covered_dimensions_from_wider_ones(spark):
+    sources = queries.dimension_sources(spark, "/root/testdata/sf0.001")
+    counts = dimensions.distinct_counts(dimensions.DIMENSIONS, sources)
+    got = {r["dimension"]: r["tuples"] for r in counts.collect()}
+    some = ["dim_main", "dim_ecu_name", "dim_online_status", "dim_factory_desc", "dim_mis_label", "dim_zp8_date"]
+    assert {n: got[n] for n in some} == {n: dimensions.build(dimensions.BY_NAME[n], sources).count() for n in some}
+    assert set(got) == set(dimensions.BY_NAME)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    fact = next(line for line in plan.splitlines() if "Expand" in line and "dfcc" in line)
+    assert fact.count("[") - 2 <= 14, "one projection for every dimension that no other covers"
+    assert plan.count("Join Inner, (model_key_3") == 1
