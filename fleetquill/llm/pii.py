@@ -22,8 +22,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetquill.llm import shared
+
 KEEP = 0.7
 NEAR = 32
+CHUNK = 1024
+FOLD = 256
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
 
 
@@ -168,51 +172,100 @@ KINDS = [
 BASE = [kind.name for kind in KINDS[:4]]
 
 
+def chunks(text: Column) -> Column:
+    """The text cut into stretches of ``CHUNK`` characters, for looking at places in it
+    without counting from its start each time."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def window(pieces: Column, start: Column, length: Column) -> Column:
+    """At most CHUNK characters from a place on."""
+    k = F.floor(start / CHUNK).cast("int")
+    both = F.concat(F.coalesce(F.get(pieces, k), F.lit("")), F.coalesce(F.get(pieces, k + 1), F.lit("")))
+    return F.substr(both, start % CHUNK + 1, length)
+
+
+def stretch(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end, however many."""
+    k = F.floor(start / CHUNK).cast("int")
+    whole = F.array_join(F.slice(pieces, k + 1, F.floor(end / CHUNK).cast("int") - k + 1), "")
+    return F.substr(whole, start % CHUNK + 1, end - start)
+
+
+def folded(items: Column, zero: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """Fold a list from its start and keep what each step gives: (state, item) -> struct of
+    the next ``state`` and an ``out`` of the given type, null for nothing.
+
+    A list that grows is copied at every step, so it is folded in blocks of ``FOLD`` items
+    and only the blocks' results are lined up: time in proportion to the items.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(FOLD))
+    blocks = F.transform(starts, lambda k: F.slice(items, k + 1, FOLD))
+
+    def one(held: Column, item: Column) -> Column:
+        def keep(new: Column) -> Column:
+            out = F.when(new["out"].isNull(), held["out"]).otherwise(F.concat(held["out"], F.array(new["out"])))
+            return F.struct(new["state"].alias("state"), out.alias("out"))
+
+        return bound(step(held["state"], item), keep)
+
+    def block(held: Column, own: Column) -> Column:
+        def keep(new: Column) -> Column:
+            return F.struct(new["state"].alias("state"), F.concat(held["out"], F.array(new["out"])).alias("out"))
+
+        return bound(F.aggregate(own, F.struct(held["state"].alias("state"), none.alias("out")), one), keep)
+
+    begin = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.flatten(F.aggregate(blocks, begin, block, lambda held: held["out"]))
+
+
+MATCH = "struct<start:int,end:int,match:string>"
+
+
 def places(text: Column, kind: Kind) -> Column:
     """All matches with their places: what lies between them gives the distances."""
     gaps = F.transform(F.split(text, kind.pattern, -1), F.length)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pairs = F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
 
-    def place(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
+    def place(at: Column, pair: Column) -> Column:
+        start = at + pair["gap"]
         end = start + F.length(pair["match"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        return F.struct(end.alias("state"), span.alias("out"))
 
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    nothing = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    found = F.aggregate(
-        F.filter(pairs, lambda pair: pair["match"].isNotNull()), nothing, place, lambda state: state["spans"]
-    )
+    found = bound(F.filter(pairs, lambda pair: pair["match"].isNotNull()), lambda own: folded(own, F.lit(0), place, MATCH))
     return F.when(kind.hint(text), extended(text, found, kind.whole) if kind.whole else found)
 
 
 def extended(text: Column, starts: Column, whole: Callable[[Column], Column]) -> Column:
     """Whole matches in place of their starts; what starts inside an earlier match is left out."""
-    text = text.cast("string")
 
-    def extend(start: Column) -> Column:
+    def extend(start: Column, pieces: Column) -> Column:
         return bound(
-            whole(F.substr(text, start["start"] + 1, F.lit(68))),
+            whole(window(pieces, start["start"], F.lit(68))),
             lambda match: F.struct(
                 start["start"].alias("start"), (start["start"] + F.length(match)).alias("end"), match.alias("match")
             ),
         )
 
-    def append(spans: Column, span: Column) -> Column:
-        free = F.coalesce(span["start"] >= F.try_element_at(spans, F.lit(-1))["end"], F.lit(True))
-        return F.when(free, F.concat(spans, F.array(span))).otherwise(spans)
+    def apart(end: Column, span: Column) -> Column:
+        free = span["start"] >= end
+        return F.struct(
+            F.when(free, span["end"]).otherwise(end).alias("state"), F.when(free, span).alias("out")
+        )
 
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    matches = F.filter(F.transform(starts, extend), lambda span: span["match"].isNotNull())
-    return F.aggregate(matches, none, append)
+    every = bound(chunks(text), lambda pieces: F.transform(starts, lambda start: extend(start, pieces)))
+    matches = F.filter(every, lambda span: span["match"].isNotNull())
+    return bound(matches, lambda own: folded(own, F.lit(0), apart, MATCH))
 
 
-def scored(text: Column, kind: Kind, rank: int, spans: Column) -> Column:
+def scored(pieces: Column, kind: Kind, rank: int, spans: Column) -> Column:
     """Confirmed spans of one kind, scored by checksum and words nearby."""
-    start = F.greatest(F.lit(1), spans["start"] + 1 - NEAR)
-    around = F.substr(text, start, spans["end"] - start + 1 + NEAR)
+    start = F.greatest(F.lit(0), spans["start"] - NEAR)
+    before = window(pieces, start, spans["start"] - start)
+    around = F.concat(before, spans["match"], window(pieces, spans["end"], F.lit(NEAR + 1)))
     named = F.coalesce(around.rlike(rf"(?i)(?<![\p{{L}}])(?:{kind.words})(?![\p{{L}}])"), F.lit(False))
     score = F.lit(0.8 if kind.checked else 0.5) + F.when(named, 0.2).otherwise(0.0)
     return F.struct(
@@ -224,22 +277,28 @@ def scored(text: Column, kind: Kind, rank: int, spans: Column) -> Column:
     )
 
 
-def confirmed(text: Column, kind: Kind, rank: int) -> Column:
+def confirmed(pieces: Column, found: Column, kind: Kind, rank: int) -> Column:
     """The spans of one kind that stay."""
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    spans = F.coalesce(F.col(f"__at_{kind.name}"), none)
+    spans = F.coalesce(found, F.array().cast(f"array<{MATCH}>"))
     if kind.confirm:
         spans = F.filter(spans, lambda s: kind.confirm(s["match"]))
-    spans = F.transform(spans, lambda s: scored(text, kind, rank, s))
+    spans = F.transform(spans, lambda s: scored(pieces, kind, rank, s))
     return spans if kind.name in BASE else F.filter(spans, lambda s: s["score"] >= KEEP)
 
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns and ``pii``: spans in order of start, then kind; code points, end exclusive."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    located = docs.withColumns({f"__at_{k.name}": places(text, k) for k in KINDS})
-    parts = [confirmed(text, kind, rank) for rank, kind in enumerate(KINDS)]
-    every = F.array_sort(F.concat(*parts)).cast(SPAN)
+    at = {kind.name: shared.fresh(f"at_{kind.name}", docs) for kind in KINDS}
+    located = docs.withColumns({at[kind.name]: places(text, kind) for kind in KINDS})
+    some = F.greatest(*[F.coalesce(F.size(F.col(name)), F.lit(0)) for name in at.values()]) > 0
+
+    def spans(pieces: Column) -> Column:
+        parts = [confirmed(pieces, F.col(at[kind.name]), kind, rank) for rank, kind in enumerate(KINDS)]
+        return F.array_sort(F.concat(*parts)).cast(SPAN)
+
+    # a lambda's variable, unlike a column, is never put in as the expression it stands for
+    every = F.when(some, bound(chunks(text), spans)).otherwise(F.array().cast(SPAN))
     return located.withColumn("pii", every).select(*[c for c in docs.columns if c != "pii"], "pii")
 
 
@@ -264,21 +323,18 @@ def redact(found: DataFrame, text_col: str = "text", spans_col: str = "pii") ->
     span; the spans' column goes."""
     text, spans = F.col(text_col).cast("string"), F.col(spans_col)
 
-    def mask(state: Column, span: Column) -> Column:
-        at, start, end = state["at"], span["start"], span["end"]
-        apart = F.array(
-            F.substr(text, at + 1, start - at), F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        )
-        return F.struct(
-            F.greatest(at, end).alias("at"),
-            F.when((start < at) | ((start == at) & (at > 0)), state["out"])
-            .otherwise(F.concat(state["out"], apart))
-            .alias("out"),
-        )
-
-    def close(state: Column) -> Column:
-        return F.array_join(F.concat(state["out"], F.array(F.substr(text, state["at"] + 1))), "")
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, mask, close)).otherwise(text)
-    return found.withColumn(text_col, clean).drop(spans_col)
+    def mask(pieces: Column, at: Column, span: Column) -> Column:
+        """``at`` is the end of what is masked so far, -1 before anything is."""
+        label = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        kept = stretch(pieces, F.greatest(at, F.lit(0)), span["start"])
+        new = F.when(span["start"] > at, F.concat(kept, label))
+        return F.struct(F.greatest(at, span["end"]).alias("state"), new.alias("out"))
+
+    def masked(pieces: Column) -> Column:
+        own = folded(spans, F.lit(-1), lambda at, span: mask(pieces, at, span), "string")
+        return F.array_join(own, "")
+
+    last = F.array_max(F.transform(spans, lambda span: span["end"]))
+    # a lambda's variable, unlike a column, is never put in as the expression it stands for
+    clean = F.concat(bound(chunks(text), masked), F.substr(text, last + 1))
+    return found.withColumn(text_col, F.when(F.size(spans) > 0, clean).otherwise(text)).drop(spans_col)

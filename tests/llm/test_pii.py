@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -122,3 +123,35 @@ def test_query_has_a_row_for_every_row(spark):
 def test_plan_has_no_python(spark):
     plan = queries.op5_pii(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_many_matches_take_linear_time(spark):
+    """Fifty thousand addresses in one text, and the time of ten times fewer for each tenth."""
+    def text(n):
+        return " ".join(f"mail user{k}@example{k % 7}.org," for k in range(n))
+
+    took = {}
+    for n in (5_000, 50_000):
+        df = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        start = time.perf_counter()
+        row = pii.find(df).select("pii").first()
+        assert len(row.pii) == n and row.pii[-1].end == len(text(n)) - 1
+        clean = pii.redact(pii.find(df)).first().text
+        took[n] = time.perf_counter() - start
+        assert clean == " ".join(["mail [EMAIL],"] * n)
+    assert took[50_000] < 20 * max(took[5_000], 1), took
+
+
+def test_places_beyond_the_first_chunk(spark):
+    texts = ["é" * k + " ssn 123-45-6789 a@b.cd " + "x" * 3000 + " DE89370400440532013000 end" for k in (0, 1, 990, 1010, 1023, 1024, 5000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.redact(pii.find(df)).collect():
+        want = texts[r.doc_id].replace("123-45-6789", "[SSN]").replace("a@b.cd", "[EMAIL]").replace("DE89370400440532013000", "[IBAN]")
+        assert r.text == want
+
+
+def test_other_columns_are_kept(spark):
+    df = spark.createDataFrame([("at a@b.cd", 1, 2, 3)], "text string, chunks int, AT_email int, pieces int")
+    got = pii.redact(pii.find(df))
+    assert got.columns == df.columns
+    assert tuple(got.first()) == ("at [EMAIL]", 1, 2, 3)
