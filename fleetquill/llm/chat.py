@@ -20,7 +20,7 @@ so a conversation of any length passes, in one task, as a digest is worked out i
 
 Defined results: a null text or role is empty; a null turn comes first; turns that tie are
 ordered by role, then text; repeated rows are turns each; a null conv_id is one
-conversation; an event of an unknown kind is ignored; an empty table gives an empty table;
+conversation; an event of an unknown kind is ignored, and one delivered again counts once; an empty table gives an empty table;
 other columns are ignored.
 """
 
@@ -30,7 +30,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquill.llm import shared
@@ -81,25 +81,34 @@ def events(messages: DataFrame) -> DataFrame:
 
 
 def fold(log: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text): every message's final state."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "kind", "text")))
-    sets = F.col("es").getField("kind")
+    """(conv_id, turn, role, text): every message's final state.
+
+    An event is told by conversation, message and sequence number, and counts once however
+    often it was delivered; of different events with one number the first in order of kind
+    and text does. Turn and role are the start event's, or those of the first event that has
+    them where the start never came.
+    """
+    ordered = F.array_sort(F.collect_set(F.struct("seq", "kind", "text", "turn", "role")))
+    whole = log.groupBy("conv_id", "message").agg(ordered.alias("all"))
+    es = F.filter("all", lambda e, at: (at == 0) | ~e["seq"].eqNullSafe(F.get(F.col("all"), at - 1)["seq"]))
     last = F.array_max(
-        F.transform(sets, lambda kind, at: F.when(kind.isin("start", "edit", "regenerate"), at).otherwise(-1))
+        F.transform("es", lambda e, at: F.when(e["kind"].isin("start", "edit", "regenerate"), at).otherwise(-1))
     )
     tail = F.filter(
         F.slice("es", F.greatest(F.lit(1), last + 1), F.greatest(F.size("es"), F.lit(1))),
         lambda e: e["kind"].isin("delta", "edit"),
     )
-    return (
-        log.groupBy("conv_id", "message", "turn", "role")
-        .agg(ordered.alias("es"))
-        .select(
-            "conv_id",
-            "turn",
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.array_join(F.transform(tail, lambda e: F.coalesce(e["text"], F.lit(""))), "").alias("text"),
-        )
+    starts = F.filter("es", lambda e: e["kind"] == "start")
+
+    def of_message(name: str) -> Column:
+        known = F.filter("es", lambda e: e[name].isNotNull())
+        return F.when(F.size(starts) > 0, F.get(starts, F.lit(0))[name]).otherwise(F.get(known, F.lit(0))[name])
+
+    return whole.select("conv_id", "message", es.alias("es")).select(
+        "conv_id",
+        of_message("turn").alias("turn"),
+        F.coalesce(of_message("role"), F.lit("")).alias("role"),
+        F.array_join(F.transform(tail, lambda e: F.coalesce(e["text"], F.lit(""))), "").alias("text"),
     )
 
 
