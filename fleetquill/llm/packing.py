@@ -17,11 +17,13 @@ from __future__ import annotations
 import base64
 import functools
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from fleetquill.llm import shared
 
 MAX_TOKENS = 2048
 END_ID = 1
+STRETCH = 20_000
+LONG_SPACE = re.compile(rf"(?<!\s)\s{{{STRETCH}}}")  # tried once a stretch
 PIECES = (
     "doc_id long, start long, length long, bucket int, ids binary, doc_tokens long"
 )
@@ -44,6 +48,12 @@ def encoding(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]
     )
 
 
+@functools.cache
+def tokenizer(vocabulary_path: str) -> tokenizers.Tokenizer:
+    """The same vocabulary as its JSON file gives it; one per worker process."""
+    return tokenizers.Tokenizer.from_file(vocabulary_path)
+
+
 def special_tokens(vocabulary_path: str) -> dict[str, int]:
     """The added tokens of a tokenizer's JSON file."""
     with open(vocabulary_path, encoding="utf-8") as file:
@@ -73,9 +83,12 @@ def pack(
     longest: int = MAX_TOKENS,
     end_id: int = END_ID,
     special: dict[str, int] | None = None,
+    vocabulary_path: str | None = None,
 ) -> DataFrame:
     """One row per piece: ids as little-endian unsigned 32-bit, bucket = log2(length);
-    ``special`` are the tokens that a text can hold by their strings."""
+    ``special`` are the tokens that a text can hold by their strings. ``vocabulary_path`` is
+    the JSON file of the same vocabulary, for texts that the fast encoder's pattern cannot
+    take: it recurses over white space, and long stretches of it end the process."""
     if longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
 
@@ -85,6 +98,8 @@ def pack(
         own = encoding(ranks_path, pattern, known)
 
         def encode(text: str) -> list[int]:
+            if vocabulary_path and len(text) >= STRETCH and LONG_SPACE.search(text):
+                return tokenizer(vocabulary_path).encode(text, add_special_tokens=False).ids
             if any(token in text for token, _ in known):
                 return own.encode(text, allowed_special="all")
             return own.encode_ordinary(text)

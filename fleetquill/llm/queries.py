@@ -40,8 +40,11 @@ def remainder(row_id: Column, by: int) -> Column:
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    special = packing.special_tokens(public_tokenizers.path(VOCABULARY))
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, special=special)
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    special = packing.special_tokens(vocabulary)
+    return packing.pack(
+        docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, special=special, vocabulary_path=vocabulary
+    )
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
