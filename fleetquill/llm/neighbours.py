@@ -8,8 +8,9 @@ Centroids are found by walking a graph of their nearest neighbours in memory. A
 the lists whose centroid is at most ``1 + PRUNE`` times as far as its nearest one, and at
 least so many that they hold ``LEAST`` vectors; there it is compared with every vector.
 
-A list is dealt out in parts of at most about ``PART`` vectors, and its queries go to every
-part, so no list, however full, meets in one task. Number of centroids, and so what is sent
+A list is dealt out in parts of at most about ``PART`` vectors and its queries in parts of at
+most about ``ASKING``; every part of the one meets every part of the other in a group of its
+own, so no list, however full or often asked, meets in one task. Number of centroids, and so what is sent
 to executors, is bounded by the sample's size.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetquill.llm import shared
@@ -41,6 +42,9 @@ COPIES = 8
 PRUNE = 0.25
 LEAST = 2_000
 PART = 10_000
+ASKING = 5_000
+FAR = 1e5
+HUGE = 2.0**500
 
 
 @dataclass
@@ -48,6 +52,7 @@ class Index:
     centroids: np.ndarray
     graph: np.ndarray  # nearest other centroids of each
     entries: np.ndarray  # where a walk starts
+    unit: float  # power of two near the usual largest component
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -68,9 +73,12 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def balanced_means(x: np.ndarray, k: int) -> np.ndarray:
-    """k-means in which a cluster above its share grows farther away."""
+    """k-means in which a cluster above its share grows farther away; no more centroids than
+    there are different vectors."""
     random = np.random.default_rng(11)
-    centroids = x[random.permutation(len(x))[:k]].copy()
+    different = np.unique(x, axis=0, return_index=True)[1]
+    k = min(k, len(different))
+    centroids = x[random.permutation(np.sort(different))[:k]].copy()
     share = len(x) / k
     load = np.full(k, share)
     for _ in range(ROUNDS):
@@ -87,7 +95,7 @@ def balanced_means(x: np.ndarray, k: int) -> np.ndarray:
         centroids[filled] = sums[filled] / load[filled, None]
         empty = np.flatnonzero(~filled)
         if len(empty):  # start anew inside the fullest clusters
-            full = np.argsort(-load)[: len(empty)]
+            full = np.argsort(-load)[: min(len(empty), int(filled.sum()))]
             centroids[empty[: len(full)]] = [x[random.choice(np.flatnonzero(owner == c))] for c in full]
     return centroids
 
@@ -98,14 +106,33 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, per_list: int = LIST) -> Index
     if not n:
         return None
     x = np.array(rows.column(0).combine_chunks().flatten(), np.float64).reshape(rows.num_rows, -1)
-    k = int(min(max(1, n // per_list), max(1, len(x) // 8)))
-    centroids = balanced_means(x, k)
+    unit = float(np.exp2(np.floor(np.log2(np.median(np.abs(x).max(axis=1))))))
+    x = shape(x, unit)
+    centroids = balanced_means(x, int(min(max(1, n // per_list), max(1, len(x) // 8))))
+    k = len(centroids)
     degree = min(DEGREE, k)
     graph = np.concatenate(
         [np.argsort(squared(centroids[low : low + 512], centroids), axis=1)[:, :degree] for low in range(0, k, 512)]
     )
     entries = np.random.default_rng(5).permutation(k)[: max(BEAM, int(2 * k**0.5))]
-    return Index(centroids, graph, entries)
+    return Index(centroids, graph, entries, unit)
+
+
+def shape(x: np.ndarray, unit: float) -> np.ndarray:
+    """Vectors as the index sees them: in units of the usual size, and no component farther
+    than ``FAR`` units, so that squares neither overflow nor drown the others. Distances
+    that are returned come from the vectors themselves."""
+    return np.clip(x / unit, -FAR, FAR)
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; numbers whose squares would overflow are
+    scaled by a power of two, which loses nothing."""
+    if max(np.abs(x).max(initial=0), np.abs(q).max(initial=0)) < HUGE:
+        return np.sqrt(((x - q[None]) ** 2).sum(axis=1))
+    top = np.maximum(np.abs(x).max(axis=1), np.abs(q).max())
+    scale = np.where(top < HUGE, 1.0, np.exp2(np.floor(np.log2(np.maximum(top, 1.0))) - 400))[:, None]
+    return np.sqrt(((x / scale - q[None] / scale) ** 2).sum(axis=1)) * scale[:, 0]
 
 
 def walk(index: Index, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,19 +170,25 @@ def assigned(index: Index, x: np.ndarray, reach: float, most: int) -> tuple[np.n
     return row, best[row, column]
 
 
+def parts_of(index: Index) -> tuple:
+    """The index as plain arrays, which workers without this module can take."""
+    return index.centroids, index.graph, index.entries, index.unit
+
+
 def vectors_of(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
 def postings(vectors: DataFrame, index: Index) -> DataFrame:
     """(list, vec_id, v): every vector in its lists."""
-    sent = vectors.sparkSession.sparkContext.broadcast(index)
+    sent = vectors.sparkSession.sparkContext.broadcast(parts_of(index))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Index(*sent.value)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                row, where = assigned(sent.value, vectors_of(part.column(1)), REPLICATE, COPIES)
+                row, where = assigned(own, shape(vectors_of(part.column(1)), own.unit), REPLICATE, COPIES)
                 rows = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(where), part.column(0).take(rows), part.column(1).take(rows)], names=["list", "vec_id", "v"]
@@ -168,14 +201,15 @@ def probes(queries: DataFrame, index: Index, sizes: dict[int, int]) -> DataFrame
     """(list, query_id, q): the lists that each query reads."""
     context = queries.sparkSession.sparkContext
     load = np.array([sizes.get(k, 0) for k in range(len(index.centroids))], np.int64)
-    sent = context.broadcast((index, load))
+    sent = context.broadcast((parts_of(index), load))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = sent.value
+        parts, held = sent.value
+        own = Index(*parts)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                best, near = walk(own, vectors_of(part.column(1)))
+                best, near = walk(own, shape(vectors_of(part.column(1)), own.unit))
                 before = np.cumsum(held[best], axis=1) - held[best]
                 wanted = (near <= (1 + PRUNE) ** 2 * near[:, :1]) | (before < LEAST)
                 row, column = np.nonzero(wanted & np.isfinite(near))
@@ -200,17 +234,26 @@ def search(
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lists = postings(vectors, index)
     counted = {r["list"]: r["count"] for r in lists.groupBy("list").count().collect()}  # a row per centroid
-    part_rows = [(c, 1 + n // PART) for c, n in counted.items()]
+    chosen = shared.stage(probes(vectors.where(F.col("vec_id") % every == 0), index, counted), "probes")
+    asking = {r["list"]: r["count"] for r in chosen.groupBy("list").count().collect()}
+    part_rows = [(c, 1 + n // PART, 1 + asking.get(c, 0) // ASKING) for c, n in counted.items()]
+    part_kinds = "list long, parts int, turns int"
 
     def with_parts(df: DataFrame) -> DataFrame:
-        """Joined with the number of each list's parts: a row per centroid again."""
-        return df.join(F.broadcast(table.sparkSession.createDataFrame(part_rows, "list long, parts int")), "list")
+        """Joined with the numbers of each list's parts: a row per centroid again."""
+        return df.join(F.broadcast(table.sparkSession.createDataFrame(part_rows, part_kinds)), "list")
+
+    def dealt_by(name: str, among: str) -> Column:
+        return F.pmod(F.xxhash64(name, "list"), among).cast("int")
+
+    def every_of(among: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(among) - 1))
 
     dealt = with_parts(lists).select(
-        "list", F.pmod(F.xxhash64("vec_id", "list"), "parts").cast("int").alias("part"), "vec_id", "v"
+        "list", dealt_by("vec_id", "parts").alias("part"), every_of("turns").alias("turn"), "vec_id", "v"
     )
-    asked = with_parts(probes(vectors.where(F.col("vec_id") % every == 0), index, counted)).select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "query_id", "q"
+    asked = with_parts(chosen).select(
+        "list", every_of("parts").alias("part"), dealt_by("query_id", "turns").alias("turn"), "query_id", "q"
     )
 
     def nearest(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -219,21 +262,21 @@ def search(
             x = np.stack(held["v"].to_numpy())
             ids = held["vec_id"].to_numpy()
             for query, q in zip(asking["query_id"].to_numpy(), asking["q"].to_numpy(), strict=True):
-                score = np.sqrt(((x - q[None]) ** 2).sum(axis=1))
-                score[ids == query] = np.inf
-                top = np.lexsort((ids, score))[:k] if len(ids) <= 4 * k else None
-                if top is None:
-                    edge = np.partition(score, k)[k]
-                    close = np.flatnonzero(score <= edge)
-                    top = close[np.lexsort((ids[close], score[close]))][:k]
-                top = top[np.isfinite(score[top])]
+                score = distances(x, q)
+                others = np.flatnonzero(ids != query)
+                if len(others) > 4 * k:
+                    others = others[score[others] <= np.partition(score[others], k)[k]]
+                top = others[np.lexsort((ids[others], score[others]))][:k]
                 out.append(pd.DataFrame({"query_id": query, "vec_id": ids[top], "score": score[top]}))
         if not out:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         return pd.concat(out)
 
     found = (
-        asked.groupBy("list", "part").cogroup(dealt.groupBy("list", "part")).applyInPandas(nearest, schema).distinct()
+        asked.groupBy("list", "part", "turn")
+        .cogroup(dealt.groupBy("list", "part", "turn"))
+        .applyInPandas(nearest, schema)
+        .distinct()
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
