@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetquill.llm import shared
 
@@ -273,13 +274,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         counts.where("c > 1").select("key", (F.col("s") != F.col("t")).alias("differ")), "repeat-keys"
     )
     twice = shared.stage(found.join(keys, "key"), "repeat-candidates")
+    shared.release(found, keys)
     differ = (
         twice.where("differ")
         .groupBy("key", "seg")
         .agg(F.count("*").alias("c"), F.min(F.struct("__id", "__h", "at", "n")).alias("one"))
     )
     kinds = shared.stage(differ.select("key", "seg", "c", "one.*"), "repeat-kinds")
+    # written as well: of a written table the join shuffles both sides, and can split them
     hot = kinds.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > SPLIT).select("key", F.lit(True).alias("hot"))
+    hot = shared.stage(hot, "repeat-hot")
     cuts = kinds.join(hot, "key", "left").groupBy("__id", "__h").agg(
         F.collect_list(F.struct("key", "seg", "at", "n", "hot")).alias("cuts")
     )
@@ -292,6 +296,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     once = segments.where("hot IS NULL")
     partial = sorted_repeats(once).unionByName(counted_repeats(segments.where("hot").distinct()))
     partial = shared.stage(partial.distinct(), "repeat-strings")
+    shared.release(segments, hot)
     at, n = F.col("at"), F.col("n")
     whole = twice.where(~F.col("differ")).select("__id", "__h", at.alias("low"), (at + n + LENGTH - 1).alias("high"))
     copies = twice.where("differ").join(kinds.where("c > 1").select("key", "seg"), ["key", "seg"], "left_semi")
@@ -303,7 +308,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     spans = whole.unionByName(copies).unionByName(parts)
     gathered = spans.groupBy("__id", "__h").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    return shared.stage(gathered, "repeat-spans")
+    gathered = shared.stage(gathered, "repeat-spans")
+    shared.release(twice, kinds, partial)
+    return gathered
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -312,14 +319,15 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     names = [c for c in docs.columns if c not in results]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     digest = F.xxhash64(text)
-    keyed = docs.select(*names).withColumns(
-        {
-            "__id": F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("null"), text)),
-            "__h": digest,
-            "__body": text,
-        }
+    row, hashed, body, found = (shared.fresh(name, docs) for name in ("id", "h", "body", "spans"))
+    keyed = docs.select(
+        *names,
+        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("null"), text)).alias(row),
+        digest.alias(hashed),
+        text.alias(body),
     )
-    spans = repeated_spans(keyed.select("__id", "__h", F.col("__body").alias("text")))
+    spans = repeated_spans(keyed.select(F.col(row).alias("__id"), F.col(hashed).alias("__h"), F.col(body).alias("text")))
+    spans = spans.select(F.col("__id").alias(row), F.col("__h").alias(hashed), F.col("spans").alias(found))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -351,6 +359,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 names=[*names, *results],
             )
 
-    joined = keyed.join(spans, ["__id", "__h"], "left").select(*names, "__body", "spans")
-    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields)
-    return joined.mapInArrow(cut, f"{given}, kept binary, n_bytes long, n_removed long, n_spans long")
+    joined = keyed.join(spans, [row, hashed], "left").select(*names, body, found)
+    kinds = [T.BinaryType(), T.LongType(), T.LongType(), T.LongType()]
+    added = [T.StructField(name, kind) for name, kind in zip(results, kinds, strict=True)]
+    return joined.mapInArrow(cut, T.StructType(docs.select(*names).schema.fields + added))
