@@ -186,21 +186,22 @@ def annotate(
     item_text_col: str = "text",
 ) -> DataFrame:
     """All columns and n_words, n_hit, item_ids (sorted as strings)."""
-    keyed = docs.drop(*RESULTS).withColumns(
-        dict(zip(["__id", "__text"], shared.text_key(F.col(text_col), F.col(id_col)), strict=True))
-    )
-    aligned = candidates(keyed, benchmark, text_col, item_col, item_text_col)
+    row, hashed, at, found = (shared.fresh(name, docs) for name in ("id_key", "text_key", "places", "found"))
+    key = shared.text_key(F.col(text_col), F.col(id_col))
+    aligned = candidates(docs.select(*key, F.col(text_col).alias("text")), benchmark, "text", item_col, item_text_col)
+    aligned = aligned.toDF(row, hashed, at)
+    keyed = docs.select("*", key[0].alias(row), key[1].alias(hashed))
 
     def result(tokens: Column) -> Column:
-        spans = F.when(F.col("__places").isNotNull(), F.array_sort(verified(tokens, F.col("__places"))))
+        spans = F.when(F.col(at).isNotNull(), F.array_sort(verified(tokens, F.col(at))))
         return F.struct(F.size(tokens).cast("long").alias("n_words"), spans.alias("spans"))
 
-    joined = keyed.join(aligned, ["__id", "__text"], "left")
-    checked = joined.withColumn("__r", once(words(F.col(text_col)), result))
-    spans = F.col("__r.spans")
+    joined = keyed.join(aligned, [row, hashed], "left")
+    checked = joined.withColumn(found, once(words(F.col(text_col)), result))
+    spans = F.col(f"{found}.spans")
     return checked.select(
         *[c for c in docs.columns if c not in RESULTS],
-        F.col("__r.n_words").alias("n_words"),
+        F.col(f"{found}.n_words").alias("n_words"),
         F.when(spans.isNull(), 0).otherwise(covered(spans)).cast("long").alias("n_hit"),
         F.coalesce(
             F.array_sort(F.array_distinct(F.transform(spans, lambda span: span["item"]))),
