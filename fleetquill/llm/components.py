@@ -8,6 +8,8 @@ aggregates and joins; each step is a written table, and only two numbers reach t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,19 +22,29 @@ def written(least: DataFrame) -> DataFrame:
     return shared.stage(least, "star-least")
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The new edges and a written table that they read."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
     least = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-    return both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    moved = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return moved.distinct(), least
 
 
-def small_star(edges: DataFrame) -> DataFrame:
-    """Of edges whose a is smaller than their b."""
+def small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same, of edges whose a is smaller than their b."""
     least = written(edges.groupBy("b").agg(F.min("a").alias("m")))
     moved = edges.join(least, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a <> b")
-    return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
+    return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct(), least
+
+
+def step(edges: DataFrame, star: Callable, name: str) -> DataFrame:
+    """The edges after a star, written; what it was made from goes."""
+    new, least = star(edges)
+    new = shared.stage(new, name)
+    shared.release(edges, least)
+    return new
 
 
 def state(edges: DataFrame) -> tuple[int, int]:
@@ -45,7 +57,7 @@ def stars(edges: DataFrame) -> DataFrame:
     edges = shared.stage(edges.where("a < b").distinct(), "star-edges")
     before = state(edges)
     while before[0]:
-        edges = shared.stage(small_star(shared.stage(large_star(edges), "large-star")), "small-star")
+        edges = step(step(edges, large_star, "large-star"), small_star, "small-star")
         now = state(edges)
         if now == before:
             break

@@ -74,8 +74,11 @@ def long_fold(text: bytes) -> np.uint64:
     return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None
+) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long. With ``key_col``, a
+    column of texts, that is carried along as ``key``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,12 +94,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     starts.append(len(hashes))
                     hashes += text_hashes(data[offsets[row] : offsets[row + 1]].tobytes())
                 out[first:last] = fold(np.array(hashes, np.uint64), np.array(starts, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"]
-            )
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        sign, "doc_id long, fp long"
+            given = [batch.column(0), *batch.columns[2:], pa.array(out.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(given, names=names)
+
+    carried = [] if key_col is None else [F.col(key_col)]
+    names = ["doc_id", *(["key"] if carried else []), "fp"]
+    kinds = {"doc_id": "long", "key": "string", "fp": "long"}
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *carried).mapInArrow(
+        sign, ", ".join(f"{name} {kinds[name]}" for name in names)
     )
 
 
@@ -186,28 +191,41 @@ def edges(prints: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(meet, "a long, b long").distinct()
 
 
+def classes(nodes: DataFrame) -> DataFrame:
+    """(fp, root): the smallest fingerprint that links reach; from (fp, ...) of different ones."""
+    stars = components.stars(edges(nodes.select("fp")))
+    linked = stars.select(F.col("b").alias("fp"), F.col("a").alias("root"))
+    linked = linked.unionByName(stars.select(F.col("a").alias("fp"), F.col("a").alias("root")).distinct())
+    return nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): the smallest id that links reach."""
     prints = shared.stage(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = shared.stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
-    stars = components.stars(edges(nodes.select("fp")))
-    linked = stars.select(F.col("b").alias("fp"), F.col("a").alias("root"))
-    linked = linked.unionByName(stars.select(F.col("a").alias("fp"), F.col("a").alias("root")).distinct())
-    least = nodes.join(linked, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked.join(least, "root").select("fp", "component_id")
-    whole = nodes.join(classes, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
-    )
-    return prints.join(shared.stage(whole, "fingerprint-classes"), "fp").select("doc_id", "fp", "component_id")
+    rooted = shared.stage(classes(nodes), "fingerprint-roots")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    whole = shared.stage(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-classes")
+    shared.release(nodes, rooted)
+    return prints.join(whole, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of every component the row with the smallest id; rows without id stay, as no
-    other row could be told to stand for them."""
-    classes = near_duplicates(docs, id_col, text_col)
-    chosen = classes.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    first = docs.join(chosen, id_col, "left_semi").dropDuplicates([id_col])
-    return first.unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)
+    """Of every component one row, all its columns: that with the smallest id, of rows that
+    share it the smallest digest of their text; a row without id only where none has one.
+    A row is told by id and text, so rows that share an id but are not alike all stay."""
+    mine, told = shared.fresh("id", docs), shared.fresh("text_key", docs)
+    key = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.withColumns({mine: F.col(id_col).cast("long"), told: key})
+    prints = fingerprints(keyed, mine, text_col, told)
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))
+    nodes = shared.stage(prints.groupBy("fp").agg(one.alias("one")), "fingerprint-nodes")
+    first = classes(nodes).groupBy("root").agg(F.min("one").alias("one"))
+    chosen = shared.stage(first.select(F.col("one.doc_id").alias(mine), F.col("one.key").alias(told)), "fingerprint-kept")
+    shared.release(nodes)
+    same = F.col(f"d.{mine}").eqNullSafe(F.col(f"c.{mine}")) & (F.col(f"d.{told}") == F.col(f"c.{told}"))
+    kept = keyed.alias("d").join(chosen.alias("c"), same, "left_semi")
+    return kept.dropDuplicates([mine, told]).select(*docs.columns)
 
 
 def hexadecimal(fp: Column) -> Column:
