@@ -1,7 +1,7 @@
 """Operators for building training corpora: one module per operator.
 
-Functions of this package travel to executors with the job, by value, so a cluster
-needs no copy of it installed.
+Functions of this library travel to executors with the job, by value, and models are
+broadcast as plain arrays, so a cluster needs no copy of it installed.
 """
 
 import sys

@@ -195,10 +195,12 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score); the score is the winner's share of the likelihood."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    trees = [(tree.node, tree.bits) for tree in model.trees]
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.symbol, trees))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        languages, symbol, trees = sent.value
+        own = Model(languages, symbol, [Tree(*tree) for tree in trees])
         for batch in batches:
             data, offsets = shared.byte_view(batch.column(1))
             letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)

@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetquill.llm import shared
 
@@ -374,16 +375,20 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, max_bytes: int) -
     )
     n = {row["toxic"]: row["count"] for row in known.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    usable = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")).where(
+        F.octet_length("text").between(1, max_bytes)
+    )
+    # labels without a text to learn from take up no place
+    known = shared.stage(known.join(usable.select("doc_id"), "doc_id", "left_semi"), "toxic-labels")
     chosen = [known.where(F.col("toxic") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     few = chosen[0].unionByName(chosen[1])  # at most 2 * per_class rows, whatever the input
     texts = (
-        docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
-        .where(F.octet_length("text").between(1, max_bytes))
-        .join(F.broadcast(few), "doc_id")
+        usable.join(F.broadcast(few), "doc_id")
         .dropDuplicates(["doc_id"])
         .toArrow()
         .sort_by("doc_id")
     )
+    shared.release(known)
     toxic = np.array(texts.column("toxic").to_pylist(), bool)
     return texts.column("text").to_pylist(), toxic, n.get(0, 0) / max(sum(n.values()), 1)
 
@@ -397,11 +402,12 @@ def fit(
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns and ``toxicity``, from 0 to 1; 0.5 and more is toxic."""
     docs = docs.drop("toxicity")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    parts = (model.weight, model.bias, model.blend, model.threshold, model.scale) if model else None
+    sent = docs.sparkSession.sparkContext.broadcast(parts)
     names = docs.columns
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Model(*sent.value) if sent.value else None
         for batch in batches:
             data, offsets = shared.byte_view(batch.column(len(names)))
             margins = own.margins(data, offsets) if own else np.full(len(offsets) - 1, -np.inf)
@@ -411,6 +417,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*names, "toxicity"]
             )
 
-    given = docs.withColumn("__rated", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return given.mapInArrow(rate, f"{out}, toxicity double")
+    rated = F.coalesce(F.col("text").cast("string"), F.lit("")).alias(shared.fresh("rated", docs))
+    schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
+    return docs.select("*", rated).mapInArrow(rate, schema)
