@@ -70,8 +70,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Training, hashing and tokenizing have no counterpart in SQL; tests/llm holds the result
-#: of run() against the stages written out in plain Python.
+#: Training, hashing and tokenizing have no counterpart in SQL; tests/llm holds each stage
+#: against its operator, and each operator against plain Python or held-out rows.
 ORACLE_SQL = None
 
 
