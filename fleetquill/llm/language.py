@@ -6,9 +6,12 @@ in the next shorter one, without the symbols already excluded; below the empty c
 bytes are equally likely. A text's score under a language is its exact code length in bits,
 and the language with the shortest code wins.
 
-Counts cover every training document. The tree is bounded, not the corpus: a byte sequence
-is kept if its share of its language's sequences is at least ``min_share``, so a language
-has at most 1 / min_share of them however large the corpus is.
+Counts cover every training document. How many byte sequences are kept grows with them: one
+is kept if it occurs at least total^(2/3) / ``DETAIL`` times among its language's ``total``
+bytes, so a language has at most DETAIL * total^(1/3) of them and a small one keeps all; the most frequent one
+always stays.
+Trees hold what was seen and nothing else, as sorted arrays. They are sent to executors in
+groups of at most ``GROUP`` bytes (a larger tree is alone), each of which reads the texts once.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; ties go to the
 language first in alphabetical order; rows without a language or with an empty text teach
@@ -30,7 +33,8 @@ from fleetquill.llm import shared
 
 UNDETERMINED = "und"
 ORDER = 3
-MIN_SHARE = 5e-6
+DETAIL = 10_000
+GROUP = 256 << 20
 BLOCK = 2 << 20
 FLUSH = 1 << 20
 
@@ -97,128 +101,146 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 @dataclass
-class Tree:
-    """One language's contexts, compiled: the bits of every symbol in every context."""
+class Level:
+    """Contexts of one length: the bits of the symbols seen in them, and of their escapes."""
 
-    node: np.ndarray  # context of three symbols -> its longest known suffix
-    bits: np.ndarray  # [node, symbol]
+    cells: np.ndarray  # context and symbol as one number, sorted
+    bits: np.ndarray
+    contexts: np.ndarray  # sorted
+    escapes: np.ndarray  # what a shorter context's bits are raised by
 
 
 @dataclass
 class Model:
     languages: list[str]
-    symbol: np.ndarray  # byte -> symbol; 0 stands for bytes not seen in training
-    trees: list[Tree]
+    trees: list[list[Level]]  # levels from the empty context to the longest
 
 
-def compile_tree(codes: np.ndarray, n: np.ndarray, symbol: np.ndarray, size: int) -> Tree:
+def compile_tree(codes: np.ndarray, n: np.ndarray) -> list[Level]:
     """Frozen statistics of one language. Escape of a context with n symbols, d of them
-    different: d / (n + d); a seen symbol: its count / (n + d)."""
-    syms = [symbol[(codes >> (8 * back)) & 255].astype(np.int64) for back in range(ORDER + 1)]
-    probability = np.full((1, size), 1.0 / size)
-    context_node = np.zeros(1, np.int64)  # order 0: the empty context is node 0
+    different: d / (n + d); a seen symbol: its count / (n + d); an unseen one: the escape
+    times its share of what the shorter context leaves when the seen ones are excluded."""
+    levels: list[Level] = []
     for order in range(ORDER + 1):
-        context = np.zeros(len(codes), np.int64)
-        for back in range(order, 0, -1):
-            context = context * size + syms[back]
-        known, place = np.unique(context, return_inverse=True)
-        cells, where = np.unique(place * size + syms[0], return_inverse=True)
-        seen = np.bincount(where, n)
-        row, column = cells // size, cells % size
-        total = np.bincount(row, seen, len(known))
-        kinds = np.bincount(row, minlength=len(known))
-        shorter = probability[context_node[known % size ** max(order - 1, 0)]] if order else probability
-        rest = shorter.copy()
-        rest[row, column] = 0.0
-        left = rest.sum(axis=1)
-        full = left <= 0  # every symbol was seen: nothing to escape to
-        escape = np.where(full, 0.0, kinds / (total + kinds))
-        mine = rest * (escape / np.where(full, 1.0, left))[:, None]
-        mine[row, column] = seen / (total + np.where(full, 0, kinds))[row]
-        if order == 0:
-            probability = mine
-            continue
-        longer = context_node[np.arange(size**order) % size ** (order - 1)]
-        longer[known] = len(probability) + np.arange(len(known))
-        probability = np.concatenate([probability, mine])
-        context_node = longer
-    return Tree(context_node.astype(np.int32), (-np.log2(probability)).astype(np.float32))
-
-
-def build(counts: list[tuple[str, int, int]]) -> Model:
-    """The model from (language, gram, count) rows."""
-    languages = sorted({lang for lang, _, _ in counts})
-    codes = np.array([gram for _, gram, _ in counts], np.int64)
-    n = np.array([k for _, _, k in counts], np.float64)
-    names = np.array([lang for lang, _, _ in counts], dtype=object)
-    used = np.unique(codes & 255)
-    symbol = np.zeros(256, np.int64)
-    symbol[used] = 1 + np.arange(len(used))
-    trees = [
-        compile_tree(codes[names == lang], n[names == lang], symbol, len(used) + 1)
-        for lang in languages
-    ]
-    return Model(languages, symbol.astype(np.int32), trees)
-
-
-def fit(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE
-) -> Model:
+        cells, place = np.unique(codes & (1 << 8 * (order + 1)) - 1, return_inverse=True)
+        seen = np.bincount(place, n)
+        contexts, starts = np.unique(cells >> 8, return_index=True)
+        kinds = np.diff(np.append(starts, len(cells)))
+        total = np.add.reduceat(seen, starts)
+        if order:  # a symbol seen here was seen in the shorter context too
+            shorter = probability[np.searchsorted(levels[-1].cells, cells & (1 << 8 * order) - 1)]
+        else:
+            shorter = np.full(len(cells), 1 / 256)
+        left = np.maximum(1 - np.add.reduceat(shorter, starts), 1e-15)
+        probability = seen / np.repeat(total + kinds, kinds)
+        escapes = -np.log2(kinds / (total + kinds) / left)
+        levels.append(
+            Level(cells.astype(np.uint32), (-np.log2(probability)).astype(np.float32), contexts.astype(np.uint32), escapes.astype(np.float32))
+        )
+    return levels
+
+
+def build(names: np.ndarray, codes: np.ndarray, n: np.ndarray) -> Model:
+    """The model from a language, a sequence and its count per row."""
+    languages = sorted(set(names.tolist()))
+    trees = [compile_tree(codes[names == lang], n[names == lang].astype(np.float64)) for lang in languages]
+    return Model(languages, trees)
+
+
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", detail: float = DETAIL) -> Model:
     counts = shared.stage(gram_counts(docs, text_col, lang_col), "ppm-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = counts.join(totals, "lang").where(F.col("n") >= F.col("total") * min_share)
-    table = kept.select("lang", "gram", "n").toArrow()
-    return build(list(zip(*(table.column(k).to_pylist() for k in ("lang", "gram", "n")), strict=True)))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.max(F.struct("n", "gram"))["gram"].alias("top"))
+    often = F.pow(F.col("total").cast("double"), F.lit(2 / 3)) / detail
+    keep = (F.col("n") >= often) | (F.col("gram") == F.col("top"))
+    kept = counts.join(totals, "lang").where(keep).select("lang", "gram", "n").toArrow()
+    shared.release(counts)
+    names = kept.column(0).to_numpy().astype(object)
+    return build(names, kept.column(1).to_numpy(), kept.column(2).to_numpy())
+
+
+def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys are, and whether they are there at all."""
+    place = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return place, sorted_keys[place] == keys
+
+
+def symbol_bits(tree: list[Level], codes: np.ndarray) -> np.ndarray:
+    """Bits of each sequence's last byte after the bytes before it."""
+    place, hit = found(tree[ORDER].cells, codes)
+    out = tree[ORDER].bits[place].astype(np.float64)
+    rest = codes[~hit]
+    bits = np.full(len(rest), 8.0)
+    for order, level in enumerate(tree):
+        cell = rest & np.uint32((1 << 8 * (order + 1)) - 1)
+        place, known = found(level.contexts, cell >> np.uint32(8))
+        bits += np.where(known, level.escapes[place], 0)
+        if order < ORDER:
+            place, seen = found(level.cells, cell)
+            bits = np.where(seen, level.bits[place], bits)
+    out[~hit] = bits
+    return out
 
 
-def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def code_lengths(trees: list[list[Level]], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of every text under every language; a text longer than a block is added up
-    block by block."""
-    size = model.trees[0].bits.shape[1]
-    out = np.zeros((len(offsets) - 1, len(model.trees)))
+    block by block. A block's different sequences are looked up once."""
+    out = np.zeros((len(offsets) - 1, len(trees)))
     for low in range(0, len(data), BLOCK):
         high = min(len(data), low + BLOCK)
         first = int(np.searchsorted(offsets, low, side="right")) - 1
         last = int(np.searchsorted(offsets, high, side="left"))
         back = max(int(offsets[first]), low - ORDER)
         bounds = np.clip(offsets[first : last + 1], back, high)
-        code = grams(data[back:high], bounds - back)[low - back :]
-        syms = [model.symbol[(code >> np.uint32(8 * k)) & np.uint32(255)] for k in range(ORDER + 1)]
-        context = (syms[3] * size + syms[2]) * size + syms[1]
+        codes, place = np.unique(grams(data[back:high], bounds - back)[low - back :], return_inverse=True)
         starts = np.clip(offsets[first:last], low, high) - low
         filled = np.flatnonzero(np.diff(np.append(starts, high - low)) > 0)
-        for k, tree in enumerate(model.trees):
-            bits = tree.bits.ravel()[tree.node[context].astype(np.int64) * size + syms[0]]
-            out[first + filled, k] += np.add.reduceat(bits, starts[filled], dtype=np.float64)
+        for k, tree in enumerate(trees):
+            out[first + filled, k] += np.add.reduceat(symbol_bits(tree, codes)[place], starts[filled])
     return out
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score); the score is the winner's share of the likelihood."""
-    trees = [(tree.node, tree.bits) for tree in model.trees]
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.symbol, trees))
+def groups(trees: list[list[Level]]) -> Iterator[list[list[Level]]]:
+    """The trees in order, as many together as ``GROUP`` bytes hold."""
+    held, size = [], 0
+    for tree in trees:
+        own = sum(a.nbytes for level in tree for a in vars(level).values())
+        if held and size + own > GROUP:
+            yield held
+            held, size = [], 0
+        held, size = [*held, tree], size + own
+    if held:
+        yield held
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, symbol, trees = sent.value
-        own = Model(languages, symbol, [Tree(*tree) for tree in trees])
-        for batch in batches:
-            data, offsets = shared.byte_view(batch.column(1))
-            letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            if own.languages:
-                bits = code_lengths(own, data, offsets)
-                best = bits.argmin(axis=1)
-                share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
-                names = np.array(own.languages, dtype=object)[best]
-            else:
-                names, share = np.full(len(letters), UNDETERMINED, dtype=object), np.zeros(len(letters))
-            names = np.where(letters, names, UNDETERMINED)
-            share = np.where(names == UNDETERMINED, 0.0, share)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(share, pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
 
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score); the score is the winner's share of the likelihood."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long"), text, has_letter(text)).mapInArrow(
-        score, "doc_id long, lang_pred string, score double"
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        has_letter(text).alias("letters"),
+        F.array().cast("array<double>").alias("bits"),
+        text.alias("text"),
+    )
+    for group in groups(model.trees):
+        plain = [[tuple(vars(level).values()) for level in tree] for tree in group]
+        sent = docs.sparkSession.sparkContext.broadcast(plain)
+
+        def measure(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            trees = [[Level(*level) for level in tree] for tree in sent.value]
+            for batch in batches:
+                before = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                both = np.hstack([before, code_lengths(trees, *shared.byte_view(batch.column(3)))])
+                ends = np.arange(batch.num_rows + 1, dtype=np.int32) * both.shape[1]
+                bits = pa.ListArray.from_arrays(pa.array(ends), pa.array(both.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], bits, batch.column(3)], names=batch.schema.names)
+
+        rows = rows.mapInArrow(measure, "doc_id long, letters boolean, bits array<double>, text string")
+    names = F.array(*[F.lit(lang) for lang in model.languages]).cast("array<string>")
+    least = F.array_min("bits")
+    weight = F.aggregate("bits", F.lit(0.0), lambda s, b: s + F.pow(F.lit(2.0), least - b))
+    told = F.col("letters") & (F.size("bits") > 0)
+    return rows.select(
+        "doc_id",
+        F.when(told, F.get(names, (F.array_position("bits", least) - 1).cast("int"))).otherwise(UNDETERMINED).alias("lang_pred"),
+        F.when(told, 1 / weight).otherwise(0.0).alias("score"),
     )

@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from conftest import rows
 from fleetquill.llm import language, packing, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -65,33 +66,80 @@ def test_op4_digest(spark):
     assert {(r.doc_id, r.start): r.ids_crc32 for r in rows.collect()} == want
 
 
-def test_code_lengths_are_those_of_the_frozen_tree():
-    """Every distribution of the compiled tree sums to one, and a text's bits are the sum
-    over its bytes, looked up one by one."""
-    text = "the cat sat on the mat, the rat ate the cheese; ".encode() * 3
-    data, offsets = np.frombuffer(text, np.uint8), np.array([0, 0, 20, len(text)])
+def tree_of(data, offsets):
     codes, n = np.unique(language.grams(data, offsets), return_counts=True)
-    model = language.build([("en", int(c), int(k)) for c, k in zip(codes, n, strict=True)])
-    tree, size = model.trees[0], model.trees[0].bits.shape[1]
-    assert np.allclose(np.exp2(-tree.bits.astype(float)).sum(axis=1), 1, atol=1e-3)
-    got = language.code_lengths(model, data, offsets)
-    for k in range(3):
-        own = [0, 0, 0, *(int(model.symbol[b]) for b in text[offsets[k] : offsets[k + 1]])]
-        bits = 0.0
-        for i in range(3, len(own)):
-            node = tree.node[(own[i - 3] * size + own[i - 2]) * size + own[i - 1]]
-            bits += float(tree.bits[node, own[i]])
-        assert abs(bits - got[k, 0]) < 1e-3
+    return language.build(np.array(["en"] * len(codes), dtype=object), codes.astype(np.int64), n).trees[0]
+
+
+def plain_bits(learned, texts):
+    """Code lengths by the definition, from counts of plain dictionaries."""
+    counts = {}
+    for text in learned:
+        padded = bytes(language.ORDER) + text
+        for i in range(language.ORDER, len(padded)):
+            for order in range(language.ORDER + 1):
+                own = counts.setdefault(padded[i - order : i], {})
+                own[padded[i]] = own.get(padded[i], 0) + 1
+
+    def distribution(context):
+        shorter = distribution(context[1:]) if context else [1 / 256] * 256
+        seen = counts.get(context)
+        if not seen:
+            return shorter
+        total = sum(seen.values()) + len(seen)
+        left = sum(p for b, p in enumerate(shorter) if b not in seen)
+        return [seen[b] / total if b in seen else len(seen) / total * p / left for b, p in enumerate(shorter)]
+
+    out = []
+    for text in texts:
+        padded = bytes(language.ORDER) + text
+        out.append(-sum(np.log2(distribution(padded[i - language.ORDER : i])[padded[i]]) for i in range(language.ORDER, len(padded))))
+    return out
+
+
+def test_code_lengths_follow_the_definition():
+    learned = [b"", "the cat sat on the mat, the rat ate the cheese; ".encode() * 3, "Käse und 漢字".encode(), b"t"]
+    data = np.frombuffer(b"".join(learned), np.uint8)
+    tree = tree_of(data, np.cumsum([0] + [len(t) for t in learned]))
+    for context in (b"\0\0\0", b"the", b" ca", b"xyz"):  # every distribution sums to one
+        after = (int.from_bytes(context, "big") << 8 | np.arange(256)).astype(np.uint32)
+        assert abs(np.exp2(-language.symbol_bits(tree, after)).sum() - 1) < 1e-5
+    texts = [b"the cat ate", b"", b"zebra \x01", "漢 Käse".encode(), learned[1]]
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    got = language.code_lengths([tree], np.frombuffer(b"".join(texts), np.uint8), offsets)[:, 0]
+    assert np.allclose(got, plain_bits(learned, texts), rtol=1e-5)
 
 
 def test_long_texts_are_scored_block_by_block(monkeypatch):
     text = "some words and then some more of them ".encode() * 50
     data, offsets = np.frombuffer(text, np.uint8), np.array([0, 7, 7, 900, len(text)])
-    codes, n = np.unique(language.grams(data, offsets), return_counts=True)
-    model = language.build([("en", int(c), int(k)) for c, k in zip(codes, n, strict=True)])
-    whole = language.code_lengths(model, data, offsets)
+    tree = tree_of(data, offsets)
+    whole = language.code_lengths([tree], data, offsets)
     monkeypatch.setattr(language, "BLOCK", 64)
-    assert np.allclose(whole, language.code_lengths(model, data, offsets))
+    assert np.allclose(whole, language.code_lengths([tree], data, offsets))
+
+
+def test_trees_grow_with_the_corpus_and_are_sent_in_groups(spark, monkeypatch):
+    random = np.random.default_rng(6)
+    often = 0.7 ** np.arange(16)
+
+    def docs(n):
+        letters = {"x": list("abcdefghijklmnop"), "y": list("ponmlkjihgfedcba")}
+        texts = [("".join(random.choice(letters[lang], 2000, p=often / often.sum())), lang) for lang in letters for _ in range(n)]
+        return spark.createDataFrame([(k, *t) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+
+    few, many = (language.fit(docs(n), detail=20) for n in (20, 200))
+    sizes = [[len(tree[-1].cells) for tree in model.trees] for model in (few, many)]
+    assert all(50 < a < b <= 20 * (200 * 2000) ** (1 / 3) for a, b in zip(*sizes, strict=True))
+    assert [len(t[-1].cells) for t in language.fit(docs(2), detail=1e-9).trees] == [1, 1]
+    table = docs(20)
+    model = language.fit(table)  # so small a corpus is kept whole
+    whole = language.gram_counts(table, "text", "lang").groupBy("lang").count().orderBy("lang").collect()
+    assert [len(t[-1].cells) for t in model.trees] == [r["count"] for r in whole]
+    together = rows(language.predict(table, model))
+    monkeypatch.setattr(language, "GROUP", 1)
+    assert len(list(language.groups(model.trees))) == 2 and rows(language.predict(table, model)) == together
+    assert {r[1] for r in together} == {"x", "y"}
 
 
 def test_language_of_held_out_documents(spark):
