@@ -70,8 +70,9 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Training, hashing and tokenizing have no counterpart in SQL; tests/llm holds each stage
-#: against its operator, and each operator against plain Python or held-out rows.
+#: Training, hashing and tokenizing have no counterpart in SQL; tests/llm/test_pipeline.py holds
+#: every stage and the result of run() against the stages written in plain Python, the first
+#: with the fitted machine asked text by text.
 ORACLE_SQL = None
 
 
