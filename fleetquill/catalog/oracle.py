@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fleetquill.catalog import stored
 from fleetquill.operators import dimensions
 
 ORACLE_SQL: dict[str, str] = {}
@@ -471,3 +472,73 @@ FROM (
 )
 WHERE vacuum_flag AND (vacuum_last_run IS NULL OR vacuum_next_run <= DATE '2024-02-01')"""
 ORACLE_SQL["optimize_due"] = ORACLE_SQL["maintenance_due"].replace("vacuum_", "optimize_")
+
+# --- through files ---------------------------------------------------------------------------
+
+_DELIVERED = f"""parts AS (
+  SELECT p_partkey AS k, p_name || ' ' || p_partkey AS Model, p_brand AS Sales_Class,
+    p_type AS Product,
+    CASE WHEN p_partkey % 11 <> 0 THEN CAST(1990 + p_size AS VARCHAR) END AS Model_Year,
+    CASE WHEN p_partkey % 11 <> 0 THEN 'K' || p_size END AS KPB, {_LOADED}
+  FROM part
+),
+deliveries AS (
+  SELECT 1 AS load, 1 AS day, 'modprod' AS table_class, k, CASE k % 13 WHEN 0 THEN 2 ELSE 1 END AS n
+  FROM parts WHERE k % 3 <> 0
+  UNION ALL SELECT 1, 1, 'modkpb', k, 1 FROM parts WHERE k % 2 = 1
+  UNION ALL SELECT 1, 2, 'modprod', k, 1 FROM parts WHERE k % 2 = 0
+  UNION ALL SELECT 2, 3, unnest(['modprod', 'modkpb']), k, 1 FROM parts
+),
+loaded AS (
+  SELECT load, table_class, k,
+    CASE WHEN k % 11 = 0 THEN sum(n) ELSE arg_min(n, day) END AS n
+  FROM deliveries GROUP BY load, table_class, k
+),
+kept AS (
+  SELECT * FROM loaded l
+  WHERE load = 1 OR k % 11 = 0 OR NOT EXISTS (
+    SELECT 1 FROM loaded f WHERE f.load = 1 AND f.k = l.k AND f.table_class = l.table_class)
+)"""
+
+ORACLE_SQL["core_load_files"] = f"""WITH {_DELIVERED}
+SELECT Model, CASE table_class WHEN 'modprod' THEN Model_Year END AS Model_Year, Sales_Class,
+  Product, CASE table_class WHEN 'modkpb' THEN KPB END AS KPB, Load_Date, KSU_LOESCH_DATUM,
+  table_class
+FROM (SELECT *, unnest(range(CAST(n AS BIGINT))) AS copy FROM kept) JOIN parts USING (k)"""
+ORACLE_SQL["core_stream_files"] = ORACLE_SQL["core_load_files"]
+ORACLE_SQL["baseline_load_files"] = f"""WITH {_DOCUMENTS}
+SELECT * EXCLUDE (snapshot_date),
+  CASE min(snapshot_date) WHEN DATE '2024-01-01' THEN '1600-01-01'
+       ELSE CAST(min(snapshot_date) AS VARCHAR) END AS validfrom,
+  CASE WHEN min(snapshot_date) <= DATE '2024-01-02' THEN DATE '2039-02-01'
+       ELSE DATE '2039-03-01' END AS KSU_LOESCH_DATUM
+FROM flat WHERE {_COMPLETE} GROUP BY ALL"""
+ORACLE_SQL["landed_responses"] = f"""WITH {_RESPONSES}
+SELECT 'baselines/2024-03-01/' || product_id || '_2024-03-01_' || uuid AS object_key, product_id,
+  uuid, json_extract_string(body, '$.url') AS url
+FROM responses WHERE status < 400 AND json_valid(body)"""
+ORACLE_SQL["core_csv_files"] = ORACLE_SQL["scan_core_csv"]
+ORACLE_SQL["positional_csv_files"] = ORACLE_SQL["positional_csv"]
+ORACLE_SQL["files_by_format"] = """
+SELECT l_orderkey, l_linenumber, l_extendedprice, nullif(l_returnflag, 'N') AS l_returnflag,
+  CAST(l_shipdate AS DATE) AS l_shipdate, file_format
+FROM lineitem, (SELECT unnest(['csv', 'parquet']) AS file_format)"""
+ORACLE_SQL["catalog_table"] = """
+SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders"""
+ORACLE_SQL["appended_tables"] = """
+SELECT o_orderkey, o_totalprice,
+  CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS note,
+  ' a;"b",' || chr(10) || ' ' || o_orderpriority AS words,
+  CAST(date_trunc('year', o_orderdate) AS DATE) AS Load_Date, table_format
+FROM orders, (SELECT unnest(['parquet', 'csv', 'json']) AS table_format)"""
+ORACLE_SQL["overwritten_tables"] = """
+SELECT customer.*, writer, CAST(CASE writer WHEN 'files' THEN 3 ELSE 0 END AS BIGINT) AS files
+FROM customer,
+  (SELECT unnest(['compact', 'clustered', 'parquet', 'files', 'partitioned']) AS writer)"""
+ORACLE_SQL["written_dimensions"] = (
+    f"WITH {_ERROR_FACT},{_COMPLAINTS},{_VEHICLES},{_BRIDGE}\n"
+    + "\nUNION ALL BY NAME\n".join(
+        f"SELECT '{name}' AS dimension, * FROM ({_dimension_rows(dimensions.BY_NAME[name])})"
+        for name in stored.WRITTEN_DIMENSIONS
+    )
+)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
-from fleetquill.catalog import standins
+from fleetquill.catalog import standins, stored
 from fleetquill.functions import dates, nested, text
 from fleetquill.operators import (
     baseline,
@@ -524,3 +524,6 @@ def optimize_due(spark, sf_dir):
     return maintenance.due(control, "optimize", "2024-02-01").select(
         "table_name", "days", "optimize_last_run", "optimize_next_run"
     )
+
+
+QUERIES.update(stored.QUERIES)
