@@ -246,6 +246,19 @@ def all_columns(dimensions: Sequence[Dimension]) -> list[str]:
     return list(seen)
 
 
+def _met(source: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """A source's rows dealt by the columns that all of several subsets hold.
+
+    Every row goes into each subset, so from three on they meet first: a task then reduces
+    a subset to little more than its distinct rows before these are shuffled. AQE splits a
+    share that is too large; what meets late is still made distinct.
+    """
+    if len(sets) < 3:
+        return source
+    kept = [set(columns) for columns in sets.values()]
+    return source.hint("rebalance", *[c for c in (KEY, *BASE) if all(c in k for k in kept)])
+
+
 def _distinct_sets(
     df: DataFrame, sets: Mapping[str, Sequence[str]], columns: Sequence[str]
 ) -> DataFrame:
@@ -281,9 +294,8 @@ def build_together(
     if source_name != ERROR_FACT:
         return joined_together(dimensions, sources)
     columns = all_columns(dimensions)
-    return _distinct_sets(
-        _pick(sources[source_name], columns), {d.name: d.columns for d in dimensions}, columns
-    )
+    sets = {d.name: d.columns for d in dimensions}
+    return _distinct_sets(_pick(_met(sources[source_name], sets), columns), sets, columns)
 
 
 def joined_together(
@@ -300,25 +312,32 @@ def joined_together(
         mine = [d for d in dimensions if d.source == source]
         own = [c for c in all_columns(mine) if c not in ("model_desc", KEY)]
         sets = {d.name: _unjoined(d) for d in mine}
-        parts.append(_distinct_sets(_pick(sources[source], [KEY, *own]), sets, [KEY, *own]))
+        rows = _pick(_met(sources[source], sets), [KEY, *own])
+        parts.append(_distinct_sets(rows, sets, [KEY, *own]))
     reduced = parts[0]
     for part in parts[1:]:
         reduced = reduced.unionByName(part, allowMissingColumns=True)
     shown = [c for c in columns if c != KEY]
+    if len(dimensions) > 2:  # keys of one tuple meet, so that the join's copies go in its task
+        reduced = reduced.hint("rebalance", "dimension", *[c for c in shown if c != "model_desc"])
     shows_key = [d.name for d in dimensions if KEY in d.columns]
     key = F.when(F.col("dimension").isin(shows_key), F.col(KEY)).alias(KEY)
     found = reduced.join(bridge, KEY).select("dimension", *shown, *([key] if shows_key else []))
     return found.select("dimension", *columns).distinct()
 
 
-def _labelled(rows: DataFrame, dimension: Dimension, columns: Sequence[str]) -> Column:
-    """A row of a wider dimension as a row of the given one: its columns, the rest null."""
-    kept = set(dimension.columns)
+def _counted(
+    rows: DataFrame, dimension: str | None, kept: Iterable[str], columns: Sequence[str]
+) -> Column:
+    """A row to count: with ``dimension`` it is cut to the kept columns of that one, without
+    it stays in its dimension and is the same as all others there."""
     values = [
         (F.col(c) if c in kept else F.lit(None).cast(rows.schema[c].dataType)).alias(c)
         for c in columns
     ]
-    return F.struct(F.lit(dimension.name).alias("dimension"), *values)
+    label = F.col("dimension") if dimension is None else F.lit(dimension)
+    tuples = F.col("tuples") if dimension is None else F.lit(None).cast("bigint")
+    return F.struct(label.alias("dimension"), tuples.alias("tuples"), *values)
 
 
 def distinct_counts(
@@ -328,7 +347,8 @@ def distinct_counts(
 
     A source is read and reduced for the dimensions that no other one covers. Those that
     are covered are cut from the rows of the narrowest that covers them, widest first, so
-    each is counted from rows that are distinct already. Complaints and vehicles meet the
+    each is counted from rows that are distinct already. Rows that are counted lose their
+    columns, so only the cut ones are shuffled as such. Complaints and vehicles meet the
     bridge in one join.
     """
     covers = {d.name: covering(d, dimensions) for d in dimensions}
@@ -343,21 +363,27 @@ def distinct_counts(
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
+    # a row without a count is a tuple by itself, one with a count stands for so many
+    rows = rows.withColumn("tuples", F.lit(1).cast("bigint"))
     depth = 0
     while True:  # as deep as dimensions cover each other, two levels today
-        columns = [c for c in rows.columns if c != "dimension"]
         level = [d for d in dimensions if _depth(d, covers) == depth + 1]
         if not level:
-            return rows.groupBy("dimension").agg(F.count(F.lit(1)).alias("tuples"))
+            return rows.groupBy("dimension").agg(F.sum("tuples").alias("tuples"))
+        columns = all_columns(level)
         narrower: dict[str, list[Dimension]] = {}
         for d in level:
             narrower.setdefault(covers[d.name].name, []).append(d)
-        own = F.struct("dimension", *columns)
+        own = _counted(rows, None, (), columns)
         cut = F.array(own)
         for wider, mine in narrower.items():
-            more = F.array(own, *[_labelled(rows, d, columns) for d in mine])
+            more = F.array(own, *[_counted(rows, d.name, d.columns, columns) for d in mine])
             cut = F.when(F.col("dimension") == wider, more).otherwise(cut)
-        rows = rows.select(F.inline(cut)).distinct()
+        rows = (
+            rows.select(F.inline(cut))
+            .groupBy("dimension", *columns)
+            .agg(F.coalesce(F.sum("tuples"), F.lit(1)).alias("tuples"))
+        )
         depth += 1
 
 

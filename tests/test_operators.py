@@ -492,3 +492,19 @@ def test_counts_read_the_bridge_once_and_covered_dimensions_from_wider_ones(spar
     fact = next(line for line in plan.splitlines() if "Expand" in line and "dfcc" in line)
     assert fact.count("[") - 2 <= 14, "one projection for every dimension that no other covers"
     assert plan.count("Join Inner, (model_key_3") == 1
+
+
+def test_counts_shuffle_rows_of_the_source_once_and_counted_rows_as_counts(spark):
+    sources = queries.dimension_sources(spark, "/root/testdata/sf0.001")
+    fact = sources[dimensions.ERROR_FACT]
+    nothing = spark.range(2).select(*[F.lit(None).cast(t).alias(c) for c, t in fact.dtypes])
+    sources[dimensions.ERROR_FACT] = fact.unionByName(nothing)
+    counts = dimensions.distinct_counts(dimensions.DIMENSIONS, sources)
+    got = {r["dimension"]: r["tuples"] for r in counts.collect()}
+    some = ["dim_main", "dim_ecu_name", "dim_source_system", "dim_sw_version", "dim_dtc", "dim_fault_type"]
+    assert {n: got[n] for n in some} == {n: dimensions.build(dimensions.BY_NAME[n], sources).count() for n in some}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [model_desc" in plan
+    levels = [line for line in plan.split("Union")[0].splitlines() if "Aggregate" in line]
+    assert len(levels) >= 2
+    assert not any("dtc#" in line for line in levels), "no cut dimension holds it"
