@@ -10,12 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
+from fleetquill.sources import files
 
 # Fixed dates of the examples; a run never depends on the current day.
 LOAD_DATE = "2024-03-01"
 EARLIER_LOAD_DATE = "2024-02-01"
 
 
+# Bytes of order and line files that one task of a join is dealt. By the bytes it shuffles,
+# AQE would leave a task several times as many rows, which it sorts and makes distinct.
+TASK_BYTES = 8 << 20
+# Inputs of fewer tasks are left to Spark.
+LEAST_TASKS = 16
+
+
 # Declared, so that planning a query reads no footers.
 TABLES = {
     "region": "r_regionkey INT, r_name STRING",
@@ -41,6 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(df: DataFrame, sf_dir: str, key: str, *names: str) -> DataFrame:
+    """The smaller side of a join by ``key``, dealt to as many tasks as the given tables
+    need. The number then grows with them, and the larger side is dealt alike."""
+    spark = df.sparkSession
+    size = sum(files.size(spark, f"{sf_dir}/{name}.parquet") for name in names)
+    tasks = size // TASK_BYTES
+    if tasks < LEAST_TASKS:
+        return df
+    return df.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer key with brand, delivery country and region."""
     country = table(spark, sf_dir, "nation").join(
@@ -59,18 +78,20 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").join(
-        _places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
-    )
+    places = _dealt(_places(spark, sf_dir), sf_dir, "c_custkey", "orders")
+    return table(spark, sf_dir, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with order, place and part: orders meet customers first, so the
     large table is shuffled for two joins only."""
+    both = ("lineitem", "orders")
+    orders = _dealt(_placed_orders(spark, sf_dir), sf_dir, "o_orderkey", *both)
+    parts = _dealt(table(spark, sf_dir, "part"), sf_dir, "p_partkey", *both)
     return (
         table(spark, sf_dir, "lineitem")
-        .join(_placed_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
 
 

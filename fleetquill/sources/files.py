@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder."""
+    system, target = _located(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, target = _located(spark, path)
     system.delete(target, True)

@@ -5,8 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from fleetquill.catalog import standins
 from fleetquill.catalog.queries import QUERIES
 from fleetquill.operators import dimensions
+from fleetquill.sources import files
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries whose result is one row, or that read one value as a subquery.
@@ -58,6 +60,19 @@ def test_shuffles_of_a_fact_dimension(spark):
     assert dimensions.BASE[0] in last.split("\n")[0]
 
 
+def test_tasks_of_the_fact_grow_with_its_files(spark, monkeypatch):
+    """AQE merges no partitions that are dealt by a number."""
+    before = QUERIES["dim_dtc"](spark, SF_DIR)
+    monkeypatch.setattr(standins, "TASK_BYTES", 4096)
+    size = sum(files.size(spark, f"{SF_DIR}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert size // 4096 >= standins.LEAST_TASKS
+    after = QUERIES["dim_dtc"](spark, SF_DIR)
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    for key in ("o_orderkey", "p_partkey"):
+        assert re.search(rf"RepartitionByExpression \[{key}#\d+L?\], {size // 4096}\b", plan)
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect()))
+
+
 def test_merge_shuffles_each_side_once_for_key_and_join(spark):
     plan = plan_of(spark, "merge_baseline_first_seen", broadcast=False)
     right = plan.split("LeftAnti")[1]
