@@ -20,7 +20,7 @@ from fleetquill.operators import (
     moves,
     responses,
 )
-from fleetquill.plans import baseline_load, core_load
+from fleetquill.plans import baseline_load, core_load, dimension_counts, staging
 from fleetquill.sources import listing, load_log, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,9 +317,18 @@ def join_model_bridge(spark, sf_dir):
 
 @query
 def dim_distinct_counts(spark, sf_dir):
-    return dimensions.distinct_counts(
-        dimensions.DIMENSIONS, dimension_sources(spark, sf_dir)
-    )
+    """Orders meet their lines once, in tables that all sources read; these go at the end."""
+    root = staging.staging_folder(spark, stored.LOCAL_FALLBACK)
+    placed, items = standins.staged(spark, sf_dir, f"{root}/tables")
+    sources = {
+        dimensions.ERROR_FACT: standins.error_fact(spark, sf_dir, items),
+        dimensions.COMPLAINTS: standins.complaint_daily(spark, sf_dir, items),
+        dimensions.VEHICLES: standins.vehicle_extended(spark, sf_dir, placed),
+    }
+    slices = standins.slices(spark, sf_dir)
+    counts = dimension_counts.count_in_slices(spark, sources, root, slices)
+    staging.drop(spark, f"{root}/tables")
+    return counts
 
 
 # --- listings and moves ------------------------------------------------------------------

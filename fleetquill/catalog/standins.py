@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquill import schemas
+from fleetquill.plans import staging
 from fleetquill.sources import files
 
 # Fixed dates of the examples; a run never depends on the current day.
@@ -22,6 +23,20 @@ EARLIER_LOAD_DATE = "2024-02-01"
 TASK_BYTES = 8 << 20
 # Inputs of fewer tasks are left to Spark.
 LEAST_TASKS = 16
+# Bytes of order and line files that one slice of a job in slices takes, and the most slices,
+# as each of them reads its input whole.
+SLICE_BYTES = 128 << 20
+MOST_SLICES = 16
+
+# Columns of placed orders and of order lines that the stand-ins below are made of.
+ORDER_COLUMNS = (
+    "o_orderkey o_orderstatus o_orderdate o_orderpriority brand delivery_region_de "
+    "delivery_country_de"
+).split()
+ITEM_COLUMNS = (
+    "l_partkey l_suppkey l_linenumber l_quantity l_returnflag l_linestatus l_shipdate "
+    "p_type p_size p_brand p_name"
+).split() + ORDER_COLUMNS[1:]
 
 
 # Declared, so that planning a query reads no footers.
@@ -49,12 +64,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _dealt(df: DataFrame, sf_dir: str, key: str, *names: str) -> DataFrame:
+def _size(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    return sum(files.size(spark, f"{sf_dir}/{name}.parquet") for name in names)
+
+
+def slices(spark: SparkSession, sf_dir: str) -> int:
+    """Slices for a job over orders and their lines, so that a part of it is on disk at once."""
+    size = _size(spark, sf_dir, "lineitem", "orders")
+    return max(1, min(MOST_SLICES, size // SLICE_BYTES))
+
+
+def _dealt(df: DataFrame, sf_dir: str, key: str, *names: str, of: int = 1) -> DataFrame:
     """The smaller side of a join by ``key``, dealt to as many tasks as the given tables
-    need. The number then grows with them, and the larger side is dealt alike."""
+    need, or one of ``of`` slices of them. The number then grows with them, and the larger
+    side is dealt alike."""
     spark = df.sparkSession
-    size = sum(files.size(spark, f"{sf_dir}/{name}.parquet") for name in names)
-    tasks = size // TASK_BYTES
+    tasks = _size(spark, sf_dir, *names) // of // TASK_BYTES
     if tasks < LEAST_TASKS:
         return df
     return df.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
@@ -82,25 +107,44 @@ def _placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _items(
+    spark: SparkSession,
+    sf_dir: str,
+    placed: DataFrame | None = None,
+    number: int = 0,
+    of: int = 1,
+) -> DataFrame:
     """Order lines with order, place and part: orders meet customers first, so the
-    large table is shuffled for two joins only."""
+    large table is shuffled for two joins only. With ``of`` slices, the lines of one."""
     both = ("lineitem", "orders")
-    orders = _dealt(_placed_orders(spark, sf_dir), sf_dir, "o_orderkey", *both)
-    parts = _dealt(table(spark, sf_dir, "part"), sf_dir, "p_partkey", *both)
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    placed = _placed_orders(spark, sf_dir) if placed is None else placed
+    some = staging.in_slice(placed, ["o_orderkey"], number, of)
+    lines = staging.in_slice(table(spark, sf_dir, "lineitem"), ["l_orderkey"], number, of)
+    orders = _dealt(some, sf_dir, "o_orderkey", *both, of=of)
+    parts = _dealt(table(spark, sf_dir, "part"), sf_dir, "p_partkey", *both, of=of)
+    met = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return met.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+
+
+def staged(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Placed orders and order lines as stored tables for stand-ins that are read often."""
+    of = slices(spark, sf_dir)
+    with staging.shuffles_freed(spark):
+        placed = _placed_orders(spark, sf_dir).select(*ORDER_COLUMNS)
+        placed = staging.stage(placed, f"{folder}/orders")
+        parts = (_items(spark, sf_dir, placed, n, of).select(*ITEM_COLUMNS) for n in range(of))
+        return placed, staging.stage_parts(parts, f"{folder}/items")
 
 
 def _factory(key: str) -> Column:
     return F.concat(F.lit("F"), (F.col(key) % 4).cast("string"))
 
 
-def error_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _items(spark, sf_dir).select(
+def error_fact(
+    spark: SparkSession, sf_dir: str, items: DataFrame | None = None
+) -> DataFrame:
+    items = _items(spark, sf_dir) if items is None else items
+    return items.select(
         F.col("p_type").alias("model_desc"),
         "brand",
         _factory("l_suppkey").alias("factory_name"),
@@ -130,8 +174,11 @@ def error_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def complaint_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _items(spark, sf_dir).select(
+def complaint_daily(
+    spark: SparkSession, sf_dir: str, items: DataFrame | None = None
+) -> DataFrame:
+    items = _items(spark, sf_dir) if items is None else items
+    return items.select(
         F.col("p_size").alias("model_key_3"),
         "brand",
         _factory("l_suppkey").alias("factory_name"),
@@ -149,8 +196,11 @@ def complaint_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vehicle_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _placed_orders(spark, sf_dir).select(
+def vehicle_extended(
+    spark: SparkSession, sf_dir: str, placed: DataFrame | None = None
+) -> DataFrame:
+    placed = _placed_orders(spark, sf_dir) if placed is None else placed
+    return placed.select(
         (F.col("o_orderkey") % 50 + 1).cast("int").alias("model_key_3"),
         "brand",
         F.to_date("o_orderdate").alias("zp8_date"),

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetquill.sources import files
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: From Spark 4.1 on; an older one knows no such setting and ignores it.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def is_machine_local(spark: SparkSession, path: str) -> bool:
@@ -48,3 +53,32 @@ def stage(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def stage_parts(parts: Iterable[DataFrame], path: str) -> DataFrame:
+    """The parts of one table, written one after the other and read back as a whole."""
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    return part.sparkSession.read.schema(part.schema).parquet(path).select(*part.columns)
+
+
+def in_slice(df: DataFrame, columns: Sequence[str], number: int, slices: int) -> DataFrame:
+    """The rows of one of several slices; equal values of the columns are in one slice."""
+    if slices == 1:
+        return df
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(slices)) == number)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here leave no shuffle files: without it these stay until the driver happens to
+    collect its garbage. A DataFrame made in here should run once only."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
